@@ -5,11 +5,10 @@ The update rule of the streaming/SGD logistic regression this reproduces:
 ``eta_i = step / sqrt(i)``, i = 1..iterations, no intercept, stop once
 ``||w_i - w_{i-1}|| < tol * max(||w_i||, 1)``.
 
-Each iteration is one Spark job: every task computes ``sigmoid(w.x) - y``
-per row and emits the gradient contributions, which are summed per bucket
-with partial aggregation (at most ``num_features`` rows per map partition
-cross the shuffle). The driver holds only the weight vector, whose length is
-the bucket count (a parameter), never the data.
+Each iteration is one Spark job over the cached data: every task reduces
+its rows with numpy over the Arrow buffers to at most ``num_features``
+partial sums, which are added per bucket. The driver holds only the weight
+vector, whose length is the bucket count (a parameter), never the data.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ class SgdModel:
     intercept: float = 0.0
     iterations: int = 0
     converged: bool = False
+    rows: int = 0
     history: list[float] = field(default_factory=list)
 
 
@@ -40,49 +40,97 @@ def margin(idx: Column, val: Column, weights: Column) -> Column:
                        lambda a, b: a + b)
 
 
+def _gradient_batches(weights, label_col: str, idx_col: str, val_col: str):
+    """mapInArrow body: per Arrow batch, the summed gradient of its rows as (j, g) rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    w = np.asarray(weights, dtype=np.float64)
+
+    def run(batches):
+        total = np.zeros(len(w), dtype=np.float64)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            idx_col_ = batch.column(idx_col)
+            lengths = idx_col_.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat_i = idx_col_.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat_v = batch.column(val_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            y = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
+            rows = np.repeat(np.arange(batch.num_rows), lengths)
+            margins = np.bincount(rows, weights=w[flat_i] * flat_v, minlength=batch.num_rows)
+            mult = 1.0 / (1.0 + np.exp(-margins)) - y
+            total += np.bincount(flat_i, weights=flat_v * mult[rows], minlength=len(w))
+        nz = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(nz.astype(np.int32)), pa.array(total[nz])], names=["j", "g"])
+
+    return run
+
+
 def gradient(data: DataFrame, weights: list[float], label_col: str = "label", idx_col: str = "idx",
              val_col: str = "val") -> DataFrame:
-    """(j, g): summed logistic-loss gradient per bucket over all rows."""
-    w = double_array_literal(weights)
-    # the per-row multiplier is bound as a lambda variable so it is computed once per row
-    contributions = F.transform(
-        F.array(F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(F.col(idx_col), F.col(val_col), w))) - F.col(label_col)),
-        lambda mult: F.zip_with(F.col(idx_col), F.col(val_col), lambda i, v: F.struct(i.alias("j"), (v * mult).alias("g"))))
-    return (data.select(F.explode(F.element_at(contributions, 1)).alias("c"))
-            .groupBy(F.col("c.j").alias("j")).agg(F.sum("c.g").alias("g")))
+    """(j, g): summed logistic-loss gradient per bucket over all rows.
+
+    Each task reduces its rows with numpy over the Arrow buffers and emits at
+    most ``num_features`` partial sums; Spark adds them per bucket (partial
+    aggregation, then one small shuffle). The weights travel in the task
+    closure; their size is the bucket count.
+    """
+    partial = data.mapInArrow(_gradient_batches(list(weights), label_col, idx_col, val_col), "j int, g double")
+    return partial.groupBy("j").agg(F.sum("g").alias("g"))
+
+
+# Partition sizing of the cached training data (non-zero features per task), and the
+# partition count up to which per-partition gradients are summed on the driver
+# (at most DRIVER_SUM_PARTITIONS x num_features numbers) instead of by a shuffle.
+TARGET_NNZ_PER_PARTITION = 2_000_000
+DRIVER_SUM_PARTITIONS = 64
 
 
 def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iterations: int = rules.SGD_ITERATIONS,
               step: float = rules.SGD_STEP, reg_param: float = 0.0, initial_weights: list[float] | None = None,
               tol: float = rules.SGD_CONVERGENCE_TOL, label_col: str = "label", idx_col: str = "idx",
               val_col: str = "val") -> SgdModel:
-    w = list(initial_weights) if initial_weights is not None else [0.0] * num_features
+    """Full-batch gradient descent, one Spark job per iteration over cached data.
+
+    The cached data is coalesced to about ``TARGET_NNZ_PER_PARTITION`` non-zeros
+    per task (small micro-batches: few tasks, little scheduling; large corpora
+    keep every partition). With few partitions each iteration is a single stage
+    whose per-partition gradients are added on the driver; otherwise Spark sums
+    them per bucket with a partial aggregation.
+    """
+    import numpy as np
+
+    w = np.asarray(initial_weights if initial_weights is not None else [0.0] * num_features, dtype=np.float64)
     if len(w) != num_features:
         raise ValueError(f"initial weights have {len(w)} entries, expected {num_features}")
-    data = df.select(label_col, idx_col, val_col).persist(StorageLevel.MEMORY_AND_DISK)
+    source = df.select(label_col, idx_col, val_col)
+    stats = source.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(idx_col)).alias("nnz")).first()
+    n, nnz = int(stats["n"]), int(stats["nnz"] or 0)
+    model = SgdModel(weights=w.tolist(), rows=n)
+    if n == 0:
+        return model
+    parts = max(1, min(source.rdd.getNumPartitions(), -(-nnz // TARGET_NNZ_PER_PARTITION)))
+    data = source.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
-        model = SgdModel(weights=w)
-        if n == 0:
-            return model
         prev = None
         for i in range(1, iterations + 1):
-            grad = [0.0] * num_features
-            for r in gradient(data, w, label_col, idx_col, val_col).collect():
-                grad[r["j"]] = r["g"]
+            grad = np.zeros(num_features)
+            if parts <= DRIVER_SUM_PARTITIONS:
+                part_rows = data.mapInArrow(_gradient_batches(w.tolist(), label_col, idx_col, val_col),
+                                            "j int, g double").collect()
+            else:
+                part_rows = gradient(data, w.tolist(), label_col, idx_col, val_col).collect()
+            if part_rows:
+                np.add.at(grad, np.array([r[0] for r in part_rows]), np.array([r[1] for r in part_rows]))
             eta = step / math.sqrt(i)
-            shrink = 1.0 - eta * reg_param
-            w = [wi * shrink - eta * gi / n for wi, gi in zip(w, grad)]
+            w = w * (1.0 - eta * reg_param) - eta * grad / n
             model.iterations = i
-            if prev is not None:
-                diff = math.sqrt(sum((a - b) ** 2 for a, b in zip(prev, w)))
-                norm = math.sqrt(sum(a * a for a in w))
-                if diff < tol * max(norm, 1.0):
-                    model.converged = True
-                    prev = w
-                    break
+            if prev is not None and np.linalg.norm(prev - w) < tol * max(np.linalg.norm(w), 1.0):
+                model.converged = True
+                break
             prev = w
-        model.weights = w
+        model.weights = w.tolist()
         return model
     finally:
         data.unpersist()

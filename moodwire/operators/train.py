@@ -43,7 +43,7 @@ def cv_summary(cv_model) -> list[tuple]:
     for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
         named = {p.name: v for p, v in params.items()}
         rows.append((int(named.get("numFeatures", -1)), float(named.get("regParam", -1.0)),
-                     int(named.get("maxIter", -1)), float(metric), metric == best))
+                     int(named.get("maxIter", -1)), float(metric), bool(metric == best)))
     return rows
 
 
@@ -60,10 +60,12 @@ def lr_cv_grid(data: DataFrame, max_iters=(0, 1), folds: int = 3, seed: int = 42
         cached.unpersist()
 
 
-def predict_batch(model, tweets: DataFrame) -> DataFrame:
-    """(tweet, prediction, probability of the positive class); stays distributed."""
+def predict_batch(model, tweets: DataFrame, keep=("tweet_id",)) -> DataFrame:
+    """(tweet, prediction, probability of the positive class), plus the ``keep`` columns
+    present in the input; stays distributed."""
     out = model.transform(tweets)
-    return out.select(F.col("tweet"), F.col("prediction"),
+    extra = [c for c in keep if c in tweets.columns]
+    return out.select(*extra, F.col("tweet"), F.col("prediction"),
                       vector_to_array(F.col("probability")).getItem(1).alias("score"))
 
 

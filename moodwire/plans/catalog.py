@@ -324,3 +324,15 @@ QUERIES: dict[str, Query] = {
     "accuracy_history": q_accuracy_history,
     "predict_online": q_predict_online,
 }
+
+
+def all_queries() -> dict[str, Query]:
+    from moodwire.plans import models
+    out = dict(QUERIES)
+    out.update(models.QUERIES)
+    return out
+
+
+def q_classify_summary(spark, sf):
+    from moodwire.plans import models
+    return models.q_classify_summary(spark, sf)

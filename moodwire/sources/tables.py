@@ -34,6 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balance_partitions(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores before CPU-heavy row-local work.
+
+    A scan yields one task per file split (a parquet row group); a text table
+    written as a few large row groups would run the whole text chain on a few
+    cores. Only when the scan has fewer partitions than the cluster's default
+    parallelism are rows dealt round-robin; on a large input this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def tweets_from(documents: DataFrame) -> DataFrame:
     """``documents`` as a status table: (tweet_id, ts, text, lang, is_retweet)."""
     tail = F.element_at(F.array(*[F.lit(t) for t in PLANTED_TAILS]),
@@ -48,11 +62,12 @@ def tweets_from(documents: DataFrame) -> DataFrame:
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweets_from(table(spark, sf_dir, "documents"))
+    return balance_partitions(tweets_from(table(spark, sf_dir, "documents")))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a human label (``labels.quality``) as (tweet_id, text, label)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return docs.join(labels, "doc_id").select(F.col("doc_id").alias("tweet_id"), "text", "label")
+    joined = docs.join(labels, "doc_id").select(F.col("doc_id").alias("tweet_id"), "text", "label")
+    return balance_partitions(joined)
