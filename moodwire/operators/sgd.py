@@ -59,7 +59,8 @@ def _gradient_batches(weights, label_col: str, idx_col: str, val_col: str):
             y = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
             rows = np.repeat(np.arange(batch.num_rows), lengths)
             margins = np.bincount(rows, weights=w[flat_i] * flat_v, minlength=batch.num_rows)
-            mult = 1.0 / (1.0 + np.exp(-margins)) - y
+            with np.errstate(over="ignore"):  # exp overflow -> inf -> probability 0, as intended
+                mult = 1.0 / (1.0 + np.exp(-margins)) - y
             total += np.bincount(flat_i, weights=flat_v * mult[rows], minlength=len(w))
         nz = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(nz.astype(np.int32)), pa.array(total[nz])], names=["j", "g"])

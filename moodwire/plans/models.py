@@ -276,6 +276,22 @@ def q_classify_summary(spark, sf):
     return corpus.sentiment_summary(classify(spark, sf))
 
 
+def q_flagship(spark, sf):
+    """Tweets -> distant labels -> default tokens -> HashingTF + LogisticRegression (one
+    setting of the batch grid) fitted on the train split -> test split scored -> sentiment
+    summary per model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    data = corpus.hash_split(catalog.tokenized(spark, sf)).select(
+        "tweet_id", F.col("text").alias("tweet"), "tokens", "label", "split").persist()
+    pipeline = Pipeline(stages=[features.hashing_tf(1000), LogisticRegression(maxIter=rules.BATCH_MAX_ITER,
+                                                                              regParam=0.01)])
+    model = pipeline.fit(data.filter(F.col("split") == "train"))
+    scored = train.predict_batch(model, data.filter(F.col("split") == "test")).withColumn("model", F.lit("batch"))
+    return corpus.sentiment_summary(scored)
+
+
 def q_pca(spark, sf):
     emb = tables.table(spark, sf, "embeddings").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
@@ -304,4 +320,5 @@ QUERIES = {
     "classification_json": q_classification_json,
     "classify_summary": q_classify_summary,
     "pca": q_pca,
+    "flagship": q_flagship,
 }

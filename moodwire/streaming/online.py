@@ -29,10 +29,22 @@ STATUS_SCHEMA = "tweet_id long, ts timestamp, text string, lang string, is_retwe
 
 
 def write_status_files(df: DataFrame, path: str, files: int) -> str:
-    """Lay a status table out as ``files`` parquet files in arrival order (a replayable source)."""
-    (df.repartitionByRange(files, F.col("ts"), F.col("tweet_id"))
-       .sortWithinPartitions("ts", "tweet_id")
-       .write.mode("overwrite").parquet(path))
+    """Lay a status table out as ``files`` parquet files in arrival order (a replayable source).
+
+    The file source takes files oldest first, so the ``ts`` ranges are written one
+    after another, each as its own file.
+    """
+    bounds = df.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if bounds["lo"] is None:
+        return path
+    lo, hi = bounds["lo"], bounds["hi"]
+    span = (hi - lo).total_seconds() + 1.0
+    pos = (F.unix_micros("ts") - F.lit(int(lo.timestamp() * 1_000_000))) / 1e6
+    bucket = F.least(F.floor(pos * files / span), F.lit(files - 1))
+    staged = df.withColumn("__file", bucket)
+    for i in range(files):
+        (staged.filter(F.col("__file") == i).drop("__file").coalesce(1).sortWithinPartitions("ts", "tweet_id")
+         .write.mode("append").parquet(path))
     return path
 
 
@@ -157,7 +169,8 @@ class OnlineTrainer:
         tf = features.with_java_tf(corpus.with_tokens(batch), num_features=self.num_features)
         return features.with_tf_idf(tf, self.idf) if self.idf is not None else tf
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Train on one micro-batch from version ``batch_id - 1`` and write version ``batch_id``."""
         start = self.weights_before(batch_id)
         data = self.features(batch).select("label", "idx", "val")
         model = sgd.train_sgd(data, self.num_features, self.iterations, self.step, self.reg_param, start)
@@ -168,7 +181,7 @@ class OnlineTrainer:
          .partitionBy("version").parquet(self.weights_path))
 
     def run(self, stream: DataFrame, available_now: bool = True):
-        writer = (labelled_stream(stream).writeStream.foreachBatch(self._process)
+        writer = (labelled_stream(stream).writeStream.foreachBatch(self.process)
                   .option("checkpointLocation", self.checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")
         query = writer.start()
