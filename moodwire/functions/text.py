@@ -51,6 +51,9 @@ class DictionaryRule:
 normalize_sentiment = DictionaryRule(rules.EMOTICONS, literal=True)
 normalize_shortforms = DictionaryRule(rules.SHORT_FORMS, literal=False)
 normalize_noise = DictionaryRule(rules.NOISE, literal=False)
+# option: also treat https:// links as URLs (the default rule only knows http://)
+normalize_noise_https = DictionaryRule(
+    [(p, r) if p != r"http:\/\/\S+" else (r"https?:\/\/\S+", r) for p, r in rules.NOISE], literal=False)
 
 
 def contains_any(c: Column | str, terms: Iterable[str]) -> Column:

@@ -42,6 +42,13 @@ def unigrams(text: Column) -> Column:
     return F.when(text.rlike(r"^ +\z"), F.array().cast("array<string>")).otherwise(_clean_words(_split_words(text)))
 
 
+def whitespace_unigrams(text: Column) -> Column:
+    """Option: split on any run of whitespace (newlines and tabs separate words too)."""
+    trimmed = F.regexp_replace(text, r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+\z", "")
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
+        _clean_words(F.split(trimmed, r"[ \t\n\x0B\f\r]+")))
+
+
 def _sentences(text: Column) -> Column:
     return F.when(text.rlike(r"^\.+\z"), F.array().cast("array<string>")).otherwise(
         F.split(F.regexp_replace(text, r"\.+\z", ""), r"\."))

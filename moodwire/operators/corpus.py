@@ -23,8 +23,24 @@ def tracked(df: DataFrame, terms=rules.TRACKED_TERMS) -> DataFrame:
     return df.filter(text.contains_any(F.col("text"), terms))
 
 
-def with_distant_label(df: DataFrame, text_col: str = "text", out: str = "label") -> DataFrame:
-    return df.withColumn(out, text.distant_label(F.col(text_col)))
+def with_distant_label(df: DataFrame, text_col: str = "text", out: str = "label",
+                       drop_ambiguous: bool = False, strip_label_terms: bool = False) -> DataFrame:
+    """Label 1.0 when a positive emoticon occurs, else 0.0.
+
+    ``drop_ambiguous`` drops texts with no emoticon (neutral) or with both kinds
+    (mixed) instead of labelling them 0.0 / 1.0. ``strip_label_terms`` removes the
+    labelling emoticons from the text afterwards, so they cannot leak into features.
+    """
+    t = F.col(text_col)
+    out_df = df.withColumn(out, text.distant_label(t))
+    if drop_ambiguous:
+        out_df = out_df.filter(text.is_positive(t) != text.is_negative(t))
+    if strip_label_terms:
+        stripped = t
+        for term in rules.TRACKED_TERMS:
+            stripped = F.replace(stripped, F.lit(term), F.lit(""))
+        out_df = out_df.withColumn(text_col, stripped)
+    return out_df
 
 
 def with_tokens(df: DataFrame, text_col: str = "text", out: str = "tokens",

@@ -78,15 +78,22 @@ def idf_table(df: DataFrame, idx_col: str = "idx", m: int | None = None) -> Data
 def fit_idf(df: DataFrame, num_features: int, idx_col: str = "idx") -> list[float]:
     """The IDF vector (length ``num_features``; unseen buckets get ln(m + 1)).
 
-    Collects ``num_features`` numbers: bounded by the parameter, not the data.
+    One pass: per bucket, the rows that contain it, and how many rows start
+    there (each row counts once at its first bucket, rows without any at a
+    NULL bucket), which sums to m. Collects at most ``num_features + 1`` rows:
+    bounded by the parameter, not the data.
     """
-    stats = (df.select(F.explode(F.array_distinct(F.col(idx_col))).alias("idx"))
-             .groupBy("idx").agg(F.count(F.lit(1)).alias("df")).collect())
-    m = df.count()
     import math
+
+    exploded = df.select(F.posexplode_outer(F.array_distinct(F.col(idx_col))).alias("pos", "idx"))
+    stats = exploded.groupBy("idx").agg(
+        F.count("pos").alias("df"),
+        F.sum(F.when(F.col("pos").isNull() | (F.col("pos") == 0), 1).otherwise(0)).alias("firsts")).collect()
+    m = sum(r["firsts"] for r in stats)
     out = [math.log(m + 1.0)] * num_features
     for r in stats:
-        out[r["idx"]] = math.log((m + 1.0) / (r["df"] + 1.0))
+        if r["idx"] is not None:
+            out[r["idx"]] = math.log((m + 1.0) / (r["df"] + 1.0))
     return out
 
 

@@ -17,7 +17,7 @@ from moodwire.functions import rules
 
 def batch_cv(data: DataFrame, features=rules.BATCH_GRID_FEATURES, regs=rules.BATCH_GRID_REG,
              folds: int = rules.BATCH_FOLDS, max_iter: int = rules.BATCH_MAX_ITER, seed: int = 42,
-             parallelism: int = 4):
+             parallelism: int | None = None):
     """Pipeline(HashingTF, LogisticRegression) tuned by k-fold CV on area under ROC.
 
     ``data`` has ``tokens`` and ``label``. Returns the fitted ``CrossValidatorModel``.
@@ -27,6 +27,9 @@ def batch_cv(data: DataFrame, features=rules.BATCH_GRID_FEATURES, regs=rules.BAT
     lr = LogisticRegression(maxIter=max_iter)
     pipeline = Pipeline(stages=[tf, lr])
     grid = ParamGridBuilder().addGrid(tf.numFeatures, list(features)).addGrid(lr.regParam, list(regs)).build()
+    # the grid's fits are independent small jobs: run them side by side, at most one per core
+    if parallelism is None:
+        parallelism = max(1, min(len(grid), data.sparkSession.sparkContext.defaultParallelism))
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
                         numFolds=folds, seed=seed, parallelism=parallelism)
     cached = data.select("tokens", "label").persist(StorageLevel.MEMORY_AND_DISK)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from moodwire.functions import rules, stem, text, tokens
 from moodwire.operators import corpus, features, metrics
+from moodwire.session import checkpoint_dir
 from moodwire.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +155,7 @@ def _text_op(fn):
 q_normalize_sentiment = _text_op(text.normalize_sentiment)
 q_normalize_shortforms = _text_op(text.normalize_shortforms)
 q_normalize_noise = _text_op(text.normalize_noise)
+q_normalize_noise_https = _text_op(text.normalize_noise_https)
 
 
 def q_stem_vocabulary(spark, sf):
@@ -170,6 +172,13 @@ def _tokenizer_op(fn):
 q_tokens_unigram = _tokenizer_op(tokens.unigrams)
 q_tokens_bigram = _tokenizer_op(tokens.bigrams)
 q_tokens_trigram = _tokenizer_op(tokens.trigrams)
+q_tokens_whitespace = _tokenizer_op(tokens.whitespace_unigrams)
+
+
+def q_distant_label_strict(spark, sf):
+    """Labels without neutral or mixed texts, emoticons stripped from the text."""
+    strict = corpus.with_distant_label(_tweets(spark, sf), drop_ambiguous=True, strip_label_terms=True)
+    return strict.select("tweet_id", "label", "text")
 
 
 def tokenized(spark, sf):
@@ -218,8 +227,15 @@ def q_doc_frequency(spark, sf):
     return features.doc_frequency(java_tf(spark, sf))
 
 
+def checkpointed_tf(spark, sf):
+    """Term frequencies written once to the shared checkpoint folder: the IDF fit
+    and the transform then read them instead of running the text chain twice."""
+    checkpoint_dir(spark)
+    return java_tf(spark, sf).select("tweet_id", "idx", "val").checkpoint(eager=True)
+
+
 def q_tf_idf(spark, sf):
-    tf = java_tf(spark, sf).select("tweet_id", "idx", "val")
+    tf = checkpointed_tf(spark, sf)
     idf = features.fit_idf(tf, rules.ONLINE_FEATURES)
     out = features.with_tf_idf(tf, idf)
     return out.select("tweet_id", "idx", F.transform("val", lambda v: F.round(v, 9)).alias("val"))
@@ -276,7 +292,7 @@ def q_accuracy_history(spark, sf):
 
 def q_predict_online(spark, sf):
     """Online scoring with fixed weights (w_j = ((7 j) mod 13 - 6) / 10) over TF-IDF features."""
-    tf = java_tf(spark, sf).select("tweet_id", "idx", "val")
+    tf = checkpointed_tf(spark, sf)
     idf = features.fit_idf(tf, rules.ONLINE_FEATURES)
     feats = features.with_tf_idf(tf, idf)
     weights = [((7 * j) % 13 - 6) / 10.0 for j in range(rules.ONLINE_FEATURES)]
@@ -305,6 +321,9 @@ QUERIES: dict[str, Query] = {
     "normalize_sentiment": q_normalize_sentiment,
     "normalize_shortforms": q_normalize_shortforms,
     "normalize_noise": q_normalize_noise,
+    "normalize_noise_https": q_normalize_noise_https,
+    "tokens_whitespace": q_tokens_whitespace,
+    "distant_label_strict": q_distant_label_strict,
     "stem_vocabulary": q_stem_vocabulary,
     "tokens_unigram": q_tokens_unigram,
     "tokens_bigram": q_tokens_bigram,

@@ -153,7 +153,8 @@ def corpus_idf(spark, sf):
 
 def online_trainer(spark, sf):
     def run():
-        trainer = online.OnlineTrainer(spark, idf=corpus_idf(spark, sf))
+        holdout = _test(spark, sf).select(F.col("tweet").alias("text"), "label")
+        trainer = online.OnlineTrainer(spark, idf=corpus_idf(spark, sf), holdout=holdout, evaluate_every=1)
         trainer.run(online.status_stream(spark, status_files(spark, sf)))
         return trainer
     return _once(spark, sf, "online_trainer", run)
@@ -172,6 +173,15 @@ def q_latest_model(spark, sf):
     return online_trainer(spark, sf).latest().select("version", "weights", "intercept")
 
 
+def q_statistics_feed(spark, sf):
+    """The statistics table the online trainer appended to, latest row per trainer."""
+    return metrics.latest_statistics(online_trainer(spark, sf).statistics().drop("ts"))
+
+
+def q_online_accuracy_history(spark, sf):
+    return metrics.accuracy_history(online_trainer(spark, sf).statistics())
+
+
 def latest_weights(spark, sf) -> list[float]:
     row = online_trainer(spark, sf).latest().collect()[0]
     return list(row["weights"])
@@ -249,13 +259,31 @@ def q_tweet_features(spark, sf):
     return features.with_tf_idf(tf, corpus_idf(spark, sf)).select("tweet_id", "idx", "val")
 
 
+def classify_with(tweets: DataFrame, predictors: dict) -> DataFrame:
+    """Score the same tweets with several predictors, long format (model, tweet_id, tweet, prediction).
+
+    A predictor is any function ``DataFrame(tweet_id, tweet, tokens) -> DataFrame`` with
+    ``tweet_id`` and ``prediction`` columns.
+    """
+    parts = [fn(tweets).select(F.lit(name).alias("model"), "tweet_id", "prediction").join(
+        tweets.select("tweet_id", "tweet"), "tweet_id") for name, fn in predictors.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("model", "tweet_id", "tweet", "prediction")
+
+
+def predictors(spark, sf) -> dict:
+    return {
+        "batch": lambda df: train.predict_batch(batch_model(spark, sf).bestModel, df),
+        "online": lambda df: online_scored(spark, sf, df),
+    }
+
+
 def classify(spark, sf) -> DataFrame:
-    """Both models on the keyword's tweets: (model, tweet_id, tweet, prediction)."""
+    """Both models on the keyword's tweets."""
     hits = corpus.with_tokens(search_hits(spark, sf), text_col="tweet")
-    b = train.predict_batch(batch_model(spark, sf).bestModel, hits).select(
-        F.lit("batch").alias("model"), "tweet_id", "tweet", "prediction")
-    o = online_scored(spark, sf, hits).select(F.lit("online").alias("model"), "tweet_id", "tweet", "prediction")
-    return b.select("model", "tweet_id", "tweet", "prediction").unionByName(o)
+    return classify_with(hits, predictors(spark, sf))
 
 
 def q_classify_keyword(spark, sf):
@@ -310,6 +338,8 @@ QUERIES = {
     "model_versions": q_model_versions,
     "latest_model": q_latest_model,
     "online_statistics": q_online_statistics,
+    "statistics_feed": q_statistics_feed,
+    "online_accuracy_history": q_online_accuracy_history,
     "stream_corpus": q_stream_corpus,
     "stream_progress": q_stream_progress,
     "corpus_csv": q_corpus_csv,

@@ -30,6 +30,9 @@ _BUCKET = "((('0x' || substr(md5(CAST(tweet_id AS VARCHAR)), 1, 8))::BIGINT % 10
 _SPLIT = f"CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END"
 _FIXTURE = "CAST((((tweet_id * 37) % 101 + 101) % 101) AS DOUBLE) / 100.0"
 _HALF = rules.CORPUS_TARGET // 2
+_STRIPPED = "text"
+for _term in rules.TRACKED_TERMS:
+    _STRIPPED = f"replace({_STRIPPED}, {O.lit(_term)}, '')"
 
 
 def _java_index(t: str, n: int) -> str:
@@ -137,6 +140,10 @@ FROM agg""",
     "normalize_sentiment": _text_sql(O.normalize_sentiment),
     "normalize_shortforms": _text_sql(O.normalize_shortforms),
     "normalize_noise": _text_sql(O.normalize_noise),
+    "normalize_noise_https": _text_sql(lambda e: O.normalize_noise(e, https=True)),
+    "tokens_whitespace": _tok_sql(O.whitespace_unigrams("text")),
+    "distant_label_strict": f"""{BASE}
+SELECT tweet_id, label, {_STRIPPED} AS text FROM labelled WHERE {_POS} <> {_NEG}""",
     "stem_vocabulary": f"""{BASE},
 words AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM tweets)
 SELECT word, {O.stem_words('[word]')}[1] AS stem FROM words""",

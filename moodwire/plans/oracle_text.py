@@ -55,12 +55,13 @@ def normalize_shortforms(expr: str) -> str:
     return out
 
 
-def normalize_noise(expr: str) -> str:
+def normalize_noise(expr: str, https: bool = False) -> str:
     out = f"lower({expr})"
     for ch in string.ascii_lowercase:
         out = f"regexp_replace({out}, '{ch}{{3,}}', '{ch}{ch}', 'g')"
     out = f"regexp_replace({out}, {lit('@' + _NOT_SPACE + '+')}, 'username', 'g')"
-    out = f"regexp_replace({out}, {lit('http://' + _NOT_SPACE + '+')}, 'url', 'g')"
+    scheme = "https?://" if https else "http://"
+    out = f"regexp_replace({out}, {lit(scheme + _NOT_SPACE + '+')}, 'url', 'g')"
     out = f"regexp_replace({out}, '[-_]', ' ', 'g')"
     return out
 
@@ -150,6 +151,13 @@ def clean_words(list_expr: str, var: str = "t") -> str:
     return f"list_transform({list_expr}, lambda {var}: regexp_replace({var}, '\\W+', '', 'g'))"
 
 
+def whitespace_unigrams(expr: str) -> str:
+    ws = "[ \\t\\n\\x0B\\f\\r]"
+    trimmed = f"regexp_replace({expr}, '^{ws}+|{ws}+\\z', '', 'g')"
+    return (f"CASE WHEN {trimmed} = '' THEN []::VARCHAR[] "
+            f"ELSE {clean_words(f'regexp_split_to_array({trimmed}, {chr(39)}{ws}+{chr(39)})')} END")
+
+
 def unigrams(expr: str) -> str:
     return (f"CASE WHEN regexp_matches({expr}, '^ +\\z') THEN []::VARCHAR[] "
             f"ELSE {clean_words(split_words(expr))} END")

@@ -147,10 +147,16 @@ class OnlineTrainer:
 
     def __init__(self, spark: SparkSession, weights_path: str | None = None, checkpoint: str | None = None,
                  num_features: int = rules.ONLINE_FEATURES, iterations: int = rules.SGD_ITERATIONS,
-                 step: float = rules.SGD_STEP, reg_param: float = 0.0, idf: list[float] | None = None):
+                 step: float = rules.SGD_STEP, reg_param: float = 0.0, idf: list[float] | None = None,
+                 holdout: DataFrame | None = None, evaluate_every: int = 1, statistics_path: str | None = None):
         self.spark = spark
         self.weights_path = weights_path or work_path(spark, "weights")
         self.checkpoint = checkpoint or work_path(spark, "weights-ckpt")
+        # periodic evaluation: every k-th version is scored on ``holdout`` (labelled tweets with
+        # a ``text`` column) and one statistics row is appended
+        self.holdout = holdout
+        self.evaluate_every = max(1, evaluate_every)
+        self.statistics_path = statistics_path or work_path(spark, "statistics")
         self.num_features = num_features
         self.iterations = iterations
         self.step = step
@@ -179,6 +185,22 @@ class OnlineTrainer:
         row = sgd.weights_frame(self.spark, model, batch_id).withColumn("rows", F.lit(model.rows).cast("long"))
         (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("version").parquet(self.weights_path))
+        if self.holdout is not None and batch_id % self.evaluate_every == 0:
+            self.evaluate(model.weights, batch_id)
+
+    def evaluate(self, weights: list[float], version: int) -> None:
+        """Score the hold-out with ``weights`` and write the statistics row of ``version``
+        (idempotent: a replay overwrites its own row)."""
+        from moodwire.operators import metrics
+
+        scored = sgd.with_online_prediction(self.features(self.holdout), weights).withColumnRenamed(
+            "probability", "score")
+        stats = metrics.statistics_row(scored, "online", f"sgd(version={version})", version)
+        (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("model_version").parquet(self.statistics_path))
+
+    def statistics(self) -> DataFrame:
+        return self.spark.read.parquet(self.statistics_path)
 
     def run(self, stream: DataFrame, available_now: bool = True):
         writer = (labelled_stream(stream).writeStream.foreachBatch(self.process)
