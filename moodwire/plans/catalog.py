@@ -189,8 +189,8 @@ def q_default_tokens(spark, sf):
     return tokenized(spark, sf).select("tweet_id", "tokens")
 
 
-# Fixed value: the user dictionary of the custom-chain example.
-CUSTOM_DICTIONARY = {"openforce": "typesafe"}
+# An example user dictionary for the custom chain (any mapping works).
+CUSTOM_DICTIONARY = {"colour": "color"}
 CUSTOM_CHAIN = tokens.TextChain(normalizers=[text.DictionaryRule(CUSTOM_DICTIONARY)], stemmer=None,
                                 tokenizers=[tokens.unigrams])
 
