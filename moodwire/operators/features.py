@@ -98,8 +98,27 @@ def fit_idf(df: DataFrame, num_features: int, idx_col: str = "idx") -> list[floa
 
 
 def double_array_literal(values: list[float]) -> Column:
-    body = ", ".join(f"{float(v)!r}D" for v in values)
-    return F.expr(f"array({body})")
+    """One ``array<double>`` literal holding ``values``.
+
+    Built on the JVM from a single byte buffer, so the plan carries one Literal
+    node whatever the length (no N-element expression to analyze); falls back
+    to SQL text where the JVM is not reachable (Spark Connect).
+    """
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    try:
+        import numpy as np
+        from pyspark.sql.classic.column import Column as ClassicColumn
+
+        jvm = spark._jvm
+        buf = bytearray(np.asarray(values, dtype=">f8").tobytes())
+        arr = spark.sparkContext._gateway.new_array(jvm.double, len(values))
+        jvm.java.nio.ByteBuffer.wrap(buf).asDoubleBuffer().get(arr)
+        return ClassicColumn(jvm.org.apache.spark.sql.functions.lit(arr))
+    except Exception:  # noqa: BLE001 - no py4j gateway: plain SQL literal
+        body = ", ".join(f"{float(v)!r}D" for v in values)
+        return F.expr(f"array({body})")
 
 
 def with_tf_idf(df: DataFrame, idf: list[float], idx_col: str = "idx", val_col: str = "val",

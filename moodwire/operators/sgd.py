@@ -40,34 +40,6 @@ def margin(idx: Column, val: Column, weights: Column) -> Column:
                        lambda a, b: a + b)
 
 
-def _gradient_batches(weights, label_col: str, idx_col: str, val_col: str):
-    """mapInArrow body: per Arrow batch, the summed gradient of its rows as (j, g) rows."""
-    import numpy as np
-    import pyarrow as pa
-
-    w = np.asarray(weights, dtype=np.float64)
-
-    def run(batches):
-        total = np.zeros(len(w), dtype=np.float64)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            idx_col_ = batch.column(idx_col)
-            lengths = idx_col_.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            flat_i = idx_col_.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat_v = batch.column(val_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            y = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
-            rows = np.repeat(np.arange(batch.num_rows), lengths)
-            margins = np.bincount(rows, weights=w[flat_i] * flat_v, minlength=batch.num_rows)
-            with np.errstate(over="ignore"):  # exp overflow -> inf -> probability 0, as intended
-                mult = 1.0 / (1.0 + np.exp(-margins)) - y
-            total += np.bincount(flat_i, weights=flat_v * mult[rows], minlength=len(w))
-        nz = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(nz.astype(np.int32)), pa.array(total[nz])], names=["j", "g"])
-
-    return run
-
-
 PACKED_SCHEMA = "n int, y binary, lengths binary, idx binary, val binary"
 
 
@@ -124,14 +96,14 @@ def _gradient_packed(weights):
 
 def gradient(data: DataFrame, weights: list[float], label_col: str = "label", idx_col: str = "idx",
              val_col: str = "val") -> DataFrame:
-    """(j, g): summed logistic-loss gradient per bucket over all rows.
+    """(j, g): summed logistic-loss gradient per bucket over all rows of ``data``.
 
-    Each task reduces its rows with numpy over the Arrow buffers and emits at
-    most ``num_features`` partial sums; Spark adds them per bucket (partial
-    aggregation, then one small shuffle). The weights travel in the task
-    closure; their size is the bucket count.
+    Each task packs its rows, reduces them with numpy and emits at most
+    ``num_features`` partial sums; Spark adds them per bucket (partial
+    aggregation, then one small shuffle).
     """
-    partial = data.mapInArrow(_gradient_batches(list(weights), label_col, idx_col, val_col), "j int, g double")
+    packed = data.mapInArrow(_pack_batches(label_col, idx_col, val_col), PACKED_SCHEMA)
+    partial = packed.mapInArrow(_gradient_packed(list(weights)), "j int, g double")
     return partial.groupBy("j").agg(F.sum("g").alias("g"))
 
 

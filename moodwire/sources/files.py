@@ -47,3 +47,14 @@ def dump_corpus(tokenized: DataFrame, path: str) -> str:
     """Write (tokens, label) as parquet, for offline exploration."""
     tokenized.select("tokens", "label").write.mode("overwrite").parquet(path)
     return path
+
+
+def small_to_pandas(df: DataFrame, max_rows: int = 100_000):
+    """``toPandas`` for results that are small by construction (aggregates, metrics).
+
+    Counts first and refuses a frame above ``max_rows``: corpora stay distributed.
+    """
+    n = df.count()
+    if n > max_rows:
+        raise ValueError(f"{n} rows is more than max_rows={max_rows}; aggregate before collecting")
+    return df.toPandas()

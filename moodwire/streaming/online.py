@@ -114,12 +114,19 @@ class CorpusCollector:
             self._stop.set()
 
     def run(self, stream: DataFrame, available_now: bool = True, timeout: float | None = None) -> DataFrame:
+        """Run until both classes are full, the input is exhausted (``available_now``) or
+        ``timeout`` seconds have passed (1-second micro-batches otherwise)."""
+        import time
+
         writer = (labelled_stream(stream).writeStream.foreachBatch(self._process)
                   .option("checkpointLocation", self.checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")
         query = writer.start()
+        deadline = None if timeout is None else time.monotonic() + timeout
         while query.isActive and not self._stop.is_set():
-            query.awaitTermination(0.2 if timeout is None else min(timeout, 0.2))
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            query.awaitTermination(0.2)
         if query.isActive:
             query.stop()  # both classes full: graceful stop, the session stays
         if query.exception() is not None:

@@ -102,3 +102,29 @@ def test_idf_matches_ml_idf(spark, tf):
         F.element_at(F.map_from_arrays("idx", "val"), j), F.lit(0.0)))))
     theirs = IDF(inputCol="v", outputCol="o").fit(dense).idf.toArray()
     assert np.allclose(ours, theirs, atol=1e-12)
+
+
+def test_tf_idf_join_path_equals_literal_path(spark, tf):
+    idf = features.fit_idf(tf, 200)
+    lit = {r["tweet_id"]: (r["idx"], r["val"]) for r in features.with_tf_idf(tf, idf).collect()}
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(idf)], "idx int, idf double")
+    joined = {r["tweet_id"]: (r["idx"], r["val"]) for r in
+              features.with_tf_idf_join(tf, table, "tweet_id").collect()}
+    assert lit.keys() == joined.keys()
+    for k in lit:
+        assert lit[k][0] == joined[k][0]
+        assert np.allclose(lit[k][1], joined[k][1], atol=1e-12)
+
+
+def test_gradient_frame_matches_numpy(spark, tf):
+    w = [0.01 * ((j % 11) - 5) for j in range(200)]
+    got = np.zeros(200)
+    for r in sgd.gradient(tf, w).collect():
+        got[r["j"]] = r["g"]
+    want = np.zeros(200)
+    for r in tf.collect():
+        ix = np.array(r["idx"], dtype=int)
+        v = np.array(r["val"])
+        m = 1.0 / (1.0 + np.exp(-(np.array(w)[ix] * v).sum())) - r["label"]
+        np.add.at(want, ix, v * m)
+    assert np.allclose(got, want, atol=1e-9)
