@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from moodwire.functions import rules
 
 MAX_LITERAL_FEATURES = 1 << 16
+MAX_BROADCAST_BUCKETS = 1 << 22  # 4 M buckets x 12 bytes
 
 
 def java_hash(token: Column) -> Column:
@@ -140,7 +141,12 @@ def with_tf_idf_join(df: DataFrame, idf: DataFrame, key_col: str, idx_col: str =
     """
     exploded = df.select(key_col, F.posexplode(F.arrays_zip(F.col(idx_col).alias("i"), F.col(val_col).alias("v")))
                          .alias("pos", "iv"))
-    joined = exploded.join(idf.select(F.col("idx").alias("__i"), "idf"), F.col("iv.i") == F.col("__i"), "left")
+    # the bucket table has at most num_features rows (a parameter, checked here): broadcast it, so a
+    # hot bucket never concentrates in one shuffle partition
+    buckets = idf.select(F.col("idx").alias("__i"), "idf")
+    if buckets.count() > MAX_BROADCAST_BUCKETS:
+        raise ValueError("bucket table larger than MAX_BROADCAST_BUCKETS")
+    joined = exploded.join(F.broadcast(buckets), F.col("iv.i") == F.col("__i"), "left")
     regrouped = joined.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct(
         F.col("pos"), F.col("iv.i").alias("i"), (F.col("iv.v") * F.coalesce(F.col("idf"), F.lit(0.0))).alias("v"))))
         .alias("__iv"))

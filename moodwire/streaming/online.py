@@ -101,9 +101,11 @@ class CorpusCollector:
             self._stop.set()
             return
         w = Window.partitionBy("label").orderBy("ts", "tweet_id")
+        # the first conjunct lets Spark plan a window group limit (top rows per class before the shuffle)
         capped = (batch.withColumn("__r", F.row_number().over(w))
-                  .filter(((F.col("label") == 1.0) & (F.col("__r") <= room[1.0]))
-                          | ((F.col("label") == 0.0) & (F.col("__r") <= room[0.0])))
+                  .filter((F.col("__r") <= max(room.values()))
+                          & (((F.col("label") == 1.0) & (F.col("__r") <= room[1.0]))
+                             | ((F.col("label") == 0.0) & (F.col("__r") <= room[0.0]))))
                   .drop("__r").withColumn("batch_id", F.lit(batch_id).cast("long")))
         (capped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.corpus_path))
@@ -140,10 +142,10 @@ class CorpusCollector:
         """Per batch: positives and negatives collected so far."""
         per = self.corpus().groupBy("batch_id").agg(
             F.sum(F.col("label").cast("long")).alias("pos"), F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-        w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-        # one row per micro-batch: the window's single task holds as many rows as batches ran
-        return per.select("batch_id", F.sum("pos").over(w).alias("positives"),
-                          F.sum("neg").over(w).alias("negatives"))
+        from moodwire.operators.metrics import running_totals
+
+        cum = running_totals(per, "batch_id", ["pos", "neg"], descending=False)
+        return cum.select("batch_id", F.col("cum_pos").alias("positives"), F.col("cum_neg").alias("negatives"))
 
 
 # ----------------------------------------------------------------------------- online training
