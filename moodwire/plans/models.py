@@ -212,7 +212,7 @@ def stream_collector(spark, sf):
 
 
 def q_stream_corpus(spark, sf):
-    return stream_collector(spark, sf).corpus().select("tweet_id", "label", "batch_id")
+    return stream_collector(spark, sf).corpus().select("tweet_id", "label", F.col("batch_id").cast("long"))
 
 
 def q_stream_progress(spark, sf):

@@ -76,6 +76,25 @@ STREAMED = f"""streamed AS (
   SELECT * FROM labelled WHERE {_TRACKED} AND lang = 'en' AND NOT is_retweet)"""
 
 
+def _stream_corpus_cte() -> str:
+    from moodwire.plans.models import STREAM_FILES
+
+    return f"""{STREAMED},
+bounds AS (SELECT min(tweet_id) AS lo, max(tweet_id) AS hi FROM tweets),
+capped AS (
+  SELECT tweet_id, label FROM (
+    SELECT tweet_id, label, row_number() OVER (PARTITION BY label ORDER BY ts, tweet_id) AS r FROM streamed)
+  WHERE r <= {_HALF}),
+stream_corpus AS (
+  SELECT tweet_id, label,
+         CAST(least(floor((tweet_id - lo) * {STREAM_FILES} / (hi - lo + 1)), {STREAM_FILES} - 1) AS BIGINT) AS batch_id
+  FROM capped, bounds)"""
+
+
+_CSV_CORPUS = f"""{BASE}
+SELECT text, CASE WHEN {_POS} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM tweets WHERE {_POS} OR {_NEG}"""
+
+
 def _text_sql(fn) -> str:
     return f"{BASE}\nSELECT tweet_id, {fn('text')} AS normalized FROM tweets"
 
@@ -161,6 +180,16 @@ df AS (SELECT token, count(*) AS doc_frequency FROM dis GROUP BY token)
 SELECT token, term_frequency, doc_frequency FROM tf JOIN df USING (token)""",
     "hashing_tf_java": f"{BASE},\n{TOKENIZED},\n{JAVA_TF}\nSELECT tweet_id, idx, val FROM tf",
     "doc_frequency": f"{BASE},\n{TOKENIZED},\n{JAVA_TF}\nSELECT idx, count(*) AS df FROM counted GROUP BY idx",
+    "stream_corpus": f"{BASE},\n{_stream_corpus_cte()}\nSELECT tweet_id, label, batch_id FROM stream_corpus",
+    "stream_progress": f"""{BASE},
+{_stream_corpus_cte()},
+per AS (SELECT batch_id, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+        FROM stream_corpus GROUP BY batch_id)
+SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
+       CAST(sum(neg) OVER (ORDER BY batch_id) AS BIGINT) AS negatives FROM per""",
+    "corpus_csv": _CSV_CORPUS,
+    "corpus_build": _CSV_CORPUS,
+    "corpus_dump": f"{BASE},\n{TOKENIZED}\nSELECT t.tokens, l.label FROM tokenized t JOIN labelled l USING (tweet_id)",
     "tf_idf": f"""{BASE},
 {TOKENIZED},
 {JAVA_TF},

@@ -140,7 +140,7 @@ class CorpusCollector:
 
     def progress(self) -> DataFrame:
         """Per batch: positives and negatives collected so far."""
-        per = self.corpus().groupBy("batch_id").agg(
+        per = self.corpus().groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
             F.sum(F.col("label").cast("long")).alias("pos"), F.sum((1 - F.col("label")).cast("long")).alias("neg"))
         from moodwire.operators.metrics import running_totals
 
