@@ -256,7 +256,8 @@ def search_hits(spark, sf):
 def q_tweet_features(spark, sf):
     hits = corpus.with_tokens(search_hits(spark, sf), text_col="tweet")
     tf = features.with_java_tf(hits, num_features=rules.ONLINE_FEATURES)
-    return features.with_tf_idf(tf, corpus_idf(spark, sf)).select("tweet_id", "idx", "val")
+    out = features.with_tf_idf(tf, corpus_idf(spark, sf))
+    return out.select("tweet_id", "idx", F.transform("val", lambda v: F.round(v, 9)).alias("val"))
 
 
 def classify_with(tweets: DataFrame, predictors: dict) -> DataFrame:

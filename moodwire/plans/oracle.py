@@ -190,6 +190,19 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
     "corpus_csv": _CSV_CORPUS,
     "corpus_build": _CSV_CORPUS,
     "corpus_dump": f"{BASE},\n{TOKENIZED}\nSELECT t.tokens, l.label FROM tokenized t JOIN labelled l USING (tweet_id)",
+    "tweet_features": f"""{BASE},
+{TOKENIZED},
+{JAVA_TF},
+train_ids AS (SELECT tweet_id FROM tweets WHERE {_SPLIT} = 'train'),
+df_train AS (SELECT idx, count(*) AS df FROM counted JOIN train_ids USING (tweet_id) GROUP BY idx),
+m_train AS (SELECT count(*)::DOUBLE AS m FROM train_ids),
+hits AS (SELECT tweet_id FROM tweets WHERE lang = 'en' AND NOT is_retweet
+         AND contains(lower(text), '{catalog.SEARCH_KEYWORD}') ORDER BY ts DESC, tweet_id LIMIT {rules.SEARCH_LIMIT}),
+weighted_hits AS (
+  SELECT c.tweet_id, c.idx, c.val * ln((m_train.m + 1) / (coalesce(df_train.df, 0) + 1)) AS val
+  FROM counted c JOIN hits USING (tweet_id) LEFT JOIN df_train USING (idx), m_train)
+SELECT tweet_id, list(idx ORDER BY idx) AS idx, list(round(val, 9) ORDER BY idx) AS val
+FROM weighted_hits GROUP BY tweet_id""",
     "tf_idf": f"""{BASE},
 {TOKENIZED},
 {JAVA_TF},
