@@ -26,7 +26,7 @@ SHORT = "\x03"
 
 def _stem(w: Column, n: int) -> Column:
     """The word without its last ``n`` characters."""
-    return F.substring(w, 1, 10**9) if n == 0 else w.substr(F.lit(1), F.length(w) - n)
+    return w.substr(F.lit(1), F.length(w) - n)
 
 
 def _ends(w: Column, suffix: str) -> Column:

@@ -69,13 +69,6 @@ def doc_frequency(df: DataFrame, idx_col: str = "idx") -> DataFrame:
             .groupBy("idx").agg(F.count(F.lit(1)).alias("df")))
 
 
-def idf_table(df: DataFrame, idx_col: str = "idx", m: int | None = None) -> DataFrame:
-    """(idx, df, idf) with ``idf = ln((m + 1) / (df + 1))`` for every bucket seen; m = rows."""
-    m = df.count() if m is None else m
-    return doc_frequency(df, idx_col).select(
-        "idx", "df", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)).alias("idf"))
-
-
 def fit_idf(df: DataFrame, num_features: int, idx_col: str = "idx") -> list[float]:
     """The IDF vector (length ``num_features``; unseen buckets get ln(m + 1)).
 

@@ -42,3 +42,12 @@ def test_entry_runs(spark):
     rows = entry_module.entry(spark).collect()
     assert len(rows) >= 1
     assert set(rows[0].asDict()) == {"model", "negative", "positive", "sentiment", "percent"}
+
+
+def test_collector_with_processing_time_trigger_stops_when_full(spark, small_dir):
+    path = online.write_status_files(tables.tweets(spark, small_dir), work_path(spark, "t-status3"), 3)
+    collector = online.CorpusCollector(spark, target=20)
+    got = collector.run(online.status_stream(spark, path), available_now=False, timeout=120)
+    assert collector.state.full
+    counts = {r["label"]: r["count"] for r in got.groupBy("label").count().collect()}
+    assert counts == {0.0: 10, 1.0: 10}
