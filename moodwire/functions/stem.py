@@ -70,13 +70,20 @@ def _step1c(w: Column) -> Column:
                   F.concat(_stem(w, 1), F.lit("i"))).otherwise(w)
 
 
+def _guard(w: Column, suffixes: list[str], body: Column) -> Column:
+    """Evaluate a suffix table only for words whose last two letters end some suffix
+    of it: one set test per word instead of one suffix test per table entry."""
+    tails = sorted({suf[-2:] for suf in suffixes})
+    return F.when(F.substring(w, -2, 2).isin(*tails), body).otherwise(w)
+
+
 def _replace_table(w: Column, table: list[tuple[str, str]], measure: str) -> Column:
     out = None
     for suffix, repl in table:
         stem = _stem(w, len(suffix))
         branch = F.when(stem.rlike(measure), F.concat(stem, F.lit(repl))).otherwise(w)
         out = F.when(_ends(w, suffix), branch) if out is None else out.when(_ends(w, suffix), branch)
-    return out.otherwise(w)
+    return _guard(w, [suf for suf, _ in table], out.otherwise(w))
 
 
 def _step2(w: Column) -> Column:
@@ -94,7 +101,7 @@ def _step4(w: Column) -> Column:
         test = (_ends(w, "sion") | _ends(w, "tion")) if suffix == "ion" else _ends(w, suffix)
         branch = F.when(stem.rlike(rules.M_GT1), stem).otherwise(w)
         out = F.when(test, branch) if out is None else out.when(test, branch)
-    return out.otherwise(w)
+    return _guard(w, rules.PORTER_STEP4, out.otherwise(w))
 
 
 def _step5a(w: Column) -> Column:
