@@ -23,6 +23,7 @@ HEADLINE = [
     "stem_vocabulary",  # distinct words and their stems
     "balanced_cap",  # class-balanced corpus (window group limit)
     "corpus_progress",  # distributed running totals per micro-batch
+    "stream_corpus",  # Structured Streaming: status files -> foreachBatch class-capped collection
     "auc_roc",  # area under ROC (distributed prefix sums)
     "precision_recall",
     "train_batch",  # 2-fold CV of Pipeline(HashingTF, LogisticRegression), 6 settings
