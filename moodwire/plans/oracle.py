@@ -54,7 +54,7 @@ tf AS (SELECT tweet_id, list(idx ORDER BY idx) AS idx, list(val ORDER BY idx) AS
 
 DOC_FREQ = f"""dfreq AS (SELECT idx, count(*) AS df FROM counted GROUP BY idx),
 m AS (SELECT count(*) AS m FROM tokenized),
-idf AS (SELECT idx, ln((m.m + 1.0)::DOUBLE / (df + 1)) AS idf FROM dfreq, m)"""
+idf AS (SELECT idx, ln(((SELECT m FROM m) + 1.0)::DOUBLE / (df + 1)) AS idf FROM dfreq)"""
 
 TF_IDF = f"""weighted AS (
   SELECT c.tweet_id, c.idx, c.val * coalesce(idf.idf, ln((SELECT m + 1.0 FROM m)::DOUBLE)) AS val
@@ -87,8 +87,10 @@ capped AS (
   WHERE r <= {_HALF}),
 stream_corpus AS (
   SELECT tweet_id, label,
-         CAST(least(floor((tweet_id - lo) * {STREAM_FILES} / (hi - lo + 1)), {STREAM_FILES} - 1) AS BIGINT) AS batch_id
-  FROM capped, bounds)"""
+         CAST(least(floor((tweet_id - (SELECT lo FROM bounds)) * {STREAM_FILES}
+                          / ((SELECT hi FROM bounds) - (SELECT lo FROM bounds) + 1)), {STREAM_FILES} - 1) AS BIGINT)
+           AS batch_id
+  FROM capped)"""
 
 
 _CSV_CORPUS = f"""{BASE}
@@ -199,8 +201,8 @@ m_train AS (SELECT count(*)::DOUBLE AS m FROM train_ids),
 hits AS (SELECT tweet_id FROM tweets WHERE lang = 'en' AND NOT is_retweet
          AND contains(lower(text), '{catalog.SEARCH_KEYWORD}') ORDER BY ts DESC, tweet_id LIMIT {rules.SEARCH_LIMIT}),
 weighted_hits AS (
-  SELECT c.tweet_id, c.idx, c.val * ln((m_train.m + 1) / (coalesce(df_train.df, 0) + 1)) AS val
-  FROM counted c JOIN hits USING (tweet_id) LEFT JOIN df_train USING (idx), m_train)
+  SELECT c.tweet_id, c.idx, c.val * ln(((SELECT m FROM m_train) + 1) / (coalesce(df_train.df, 0) + 1)) AS val
+  FROM counted c JOIN hits USING (tweet_id) LEFT JOIN df_train USING (idx))
 SELECT tweet_id, list(idx ORDER BY idx) AS idx, list(round(val, 9) ORDER BY idx) AS val
 FROM weighted_hits GROUP BY tweet_id""",
     "tf_idf": f"""{BASE},
