@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from moodwire.session import checkpoint_dir
 
 
+ROWS_PER_RANGE = 1_000_000
+
+
 def score_counts(scored: DataFrame, score_col: str = "score", label_col: str = "label") -> DataFrame:
     """(score, pos, neg): one row per distinct score, partial aggregation first."""
     return scored.groupBy(F.col(score_col).cast("double").alias("score")).agg(
@@ -29,7 +32,11 @@ def running_totals(df: DataFrame, order_col: str, cols: list[str], descending: b
     """Add ``cum_<c>``: the sum of ``c`` over all rows up to and including this one
     in ``order_col`` order (keys must be distinct). Distributed prefix sum."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        # about ROWS_PER_RANGE rows per range partition, at most the session's shuffle partitions
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, min(cap, -(-df.count() // ROWS_PER_RANGE)))
+    n = partitions
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     checkpoint_dir(spark)
     # reliable checkpoint: partition ids stay fixed even if an executor is lost and work is redone
