@@ -141,6 +141,12 @@ def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iteratio
     # packed once: every iteration then reads flat buffers (one row per Arrow batch of rows)
     data = (source.coalesce(parts).mapInArrow(_pack_batches(label_col, idx_col, val_col), PACKED_SCHEMA)
             .persist(StorageLevel.MEMORY_AND_DISK))
+    spark = data.sparkSession
+    aqe = spark.conf.get("spark.sql.adaptive.enabled", "true")
+    if parts <= DRIVER_SUM_PARTITIONS:
+        # the per-iteration jobs are single shuffle-free stages: adaptive re-planning has nothing to
+        # change and only adds planning time to each of up to `iterations` jobs
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         prev = None
         for i in range(1, iterations + 1):
@@ -162,6 +168,7 @@ def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iteratio
         model.weights = w.tolist()
         return model
     finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
         data.unpersist()
 
 
