@@ -119,8 +119,8 @@ def q_train_warm_start(spark, sf):
 
 
 def q_sgd_statistics(spark, sf):
-    """Hold-out evaluation of the SGD model: AUC from hard predictions and from probability,
-    accuracy, precision/recall per class."""
+    """Hold-out evaluation of the SGD model: AUC of ROC from hard predictions and from the
+    probability, AUC of PR, accuracy and the majority baseline of the hold-out."""
     test = java_features(spark, sf).filter(F.col("split") == "test")
     scored = sgd.with_online_prediction(test, sgd_model(spark, sf).weights)
     scored = scored.persist()
