@@ -48,3 +48,20 @@ def test_text_work_is_row_local(spark, small_dir, key):
 def test_tf_idf_applies_the_vector_without_a_shuffle(spark, small_dir):
     p = plan(spark, small_dir, "tf_idf")
     assert "Exchange" not in p  # reads the checkpointed term frequencies, scales them row by row
+
+
+def test_cap_is_exact_under_heavy_skew(spark):
+    from pyspark.sql import functions as F
+
+    from moodwire.operators import corpus
+
+    n = 200_000  # 99% of the rows in one class
+    df = spark.range(n).select(F.col("id").alias("tweet_id"), F.col("id").alias("ts"),
+                               F.when(F.col("id") % 100 == 0, 0.0).otherwise(1.0).alias("label")).repartition(16)
+    capped = corpus.balanced_cap(df, target=500)
+    got = {r["label"]: (r["c"], r["hi"]) for r in capped.groupBy("label").agg(
+        F.count(F.lit(1)).alias("c"), F.max("tweet_id").alias("hi")).collect()}
+    assert got[1.0] == (250, 252)  # the first 250 positives in arrival order: ids 1-99, 101-199, 201-252
+    assert got[0.0] == (250, 24900)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and ", Partial" in plan
