@@ -63,11 +63,3 @@ def tweets_from(documents: DataFrame) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance_partitions(tweets_from(table(spark, sf_dir, "documents")))
-
-
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a human label (``labels.quality``) as (tweet_id, text, label)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    joined = docs.join(labels, "doc_id").select(F.col("doc_id").alias("tweet_id"), "text", "label")
-    return balance_partitions(joined)
