@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, packing, token_counts
+from moodwire.llm import bpe, exact_dedup, packing, token_counts
 from moodwire.llm.common import documents
 
 
@@ -12,6 +12,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -25,9 +29,17 @@ def op6_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha
+                   FROM documents),
+             g AS (SELECT sha, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY sha)
+        SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.sha AS text_sha256
+        FROM t JOIN g USING (sha)""",
+}
