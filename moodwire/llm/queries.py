@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, packing, token_counts
+from moodwire.llm import bpe, exact_dedup, packing, quality, token_counts
 from moodwire.llm.common import documents
 
 
@@ -28,11 +28,16 @@ def op6_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
+def op10_quality_rules(spark, sf_dir):
+    return quality.quality_rules(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
