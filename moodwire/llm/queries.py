@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, packing, quality, secret_scan, token_counts
+from moodwire.llm import bpe, exact_dedup, packing, quality, secret_scan, sharding, token_counts
 from moodwire.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
+def op7_sharding(spark, sf_dir):
+    return sharding.sharding_digest(documents(spark, sf_dir), shards=8)
+
+
 def op9_secret_scan(spark, sf_dir):
     return secret_scan.secret_digest(documents(spark, sf_dir))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
+    "op7_sharding": op7_sharding,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
