@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, packing, quality, secret_scan, sharding, token_counts
+from moodwire.llm import bpe, exact_dedup, language_id, packing, quality, secret_scan, sharding, token_counts
 from moodwire.llm.common import documents
 
 
@@ -32,6 +32,10 @@ def op7_sharding(spark, sf_dir):
     return sharding.sharding_digest(documents(spark, sf_dir), shards=8)
 
 
+def op8_language_id(spark, sf_dir):
+    return language_id.language_id(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark, sf_dir):
     return secret_scan.secret_digest(documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
+    "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
