@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, language_id, packing, quality, secret_scan, sharding, token_counts
+from moodwire.llm import bpe, exact_dedup, language_id, packing, quality, secret_scan, sharding, substring_dedup, token_counts
 from moodwire.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_digest(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -46,6 +50,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
