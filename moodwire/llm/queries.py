@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, language_id, packing, quality, secret_scan, sharding, substring_dedup, token_counts
+from moodwire.llm import bpe, exact_dedup, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, token_counts
 from moodwire.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_digest(documents(spark, sf_dir))
 
 
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "copy_id")
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -51,6 +55,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_packing": op6_packing,
