@@ -20,7 +20,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a parquet table in the shared checkpoint folder: lineage ends there,
-    so a lost executor costs a re-read and iterations do not grow the plan."""
+    so a lost executor costs a re-read and iterations do not grow the plan. A pre-aggregated side
+    that is written first also lets adaptive execution split the other side's hot keys in a join."""
     spark = df.sparkSession
     path = work_path(spark, f"llm-{name}")
     df.write.parquet(path)

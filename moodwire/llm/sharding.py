@@ -44,7 +44,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def keyed(rows: DataFrame) -> DataFrame:
     """``rows`` with ``key``: 63 minus the binary logarithm of the group's bytes, then hash bits."""
-    groups = rows.groupBy("hash").agg(F.sum("size").alias("bytes"))
+    groups = written(rows.groupBy("hash").agg(F.sum("size").alias("bytes")), "groups")
     size_class = 63 - F.floor(F.log2("bytes")).cast("bigint")
     key = F.shiftleft(size_class, 63 - CLASSES) + F.shiftrightunsigned(F.col("hash"), CLASSES + 1)
     return rows.join(groups, "hash").select("id", "size", "text_crc32", key.alias("key"))

@@ -193,7 +193,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     or the SHA-256 of that."""
     rows = docs.select(_order(id_col).alias("o"), F.col(text_col).alias("text"))
     info = written(classes(rows), "classes")
-    first = info.groupBy("sha").agg(F.min("o").alias("first"))
+    first = written(info.groupBy("sha").agg(F.min("o").alias("first")), "first")
     ranked = written(info.join(first, "sha").select("o", "n_words", "sha", "c", (F.col("o") > F.col("first")).alias("copy")), "ranked")
 
     places = seeds(rows, window)
@@ -209,7 +209,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     key = ["k1", "k2"]
     rare = full.where(~F.col("often")).withColumn("least", F.min("o").over(Window.partitionBy(*key)))
     common = full.where("often")
-    common = common.join(common.groupBy(*key).agg(F.min("o").alias("least")), key)
+    common = common.join(written(common.groupBy(*key).agg(F.min("o").alias("least")), "least"), key)
     gone = (rare.select("o", "c", "s", "least").unionByName(common.select("o", "c", "s", "least"))
             .where("o > least").groupBy("o", "c").agg(F.collect_set("s").alias("starts")))
     cut = kept_words(candidates.select("o", "text", "c").join(gone, ["o", "c"]).select("o", "text", "c", "starts"), window, whole)
