@@ -79,18 +79,29 @@ def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def balanced_cap(df: DataFrame, target: int = rules.CORPUS_TARGET, label_col: str = "label",
-                 order_cols=("ts", "tweet_id")) -> DataFrame:
-    """Keep the first ``target // 2`` rows of each class in arrival order.
+CAP_SALTS = 32
+
+
+def first_per_class(df: DataFrame, most: int, label_col: str = "label", order_cols=("ts", "tweet_id"),
+                    rank: str = "__rank") -> DataFrame:
+    """The first ``most`` rows of each class in arrival order, with their rank.
 
-    ``row_number() <= k`` is planned as a window group limit: each map
-    partition keeps only its first k rows per class before the shuffle, so
-    the sort per class sees at most k rows per map partition however large a
-    class is.
+    Ranks are taken within (class, salt) first, where ``row_number() <= k`` is planned as a window
+    group limit (each task keeps k rows per class and salt before the shuffle); the ranks over a
+    whole class then see at most ``CAP_SALTS * most`` rows, however large the class or the cluster.
     """
-    w = Window.partitionBy(label_col).orderBy(*[F.col(c) for c in order_cols])
-    return (df.withColumn("__rank", F.row_number().over(w))
-            .filter(F.col("__rank") <= target // 2).drop("__rank"))
+    order = [F.col(c) for c in order_cols]
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(CAP_SALTS)))
+    some = (salted.withColumn(rank, F.row_number().over(Window.partitionBy(label_col, "__salt").orderBy(*order)))
+            .filter(F.col(rank) <= most))
+    return (some.withColumn(rank, F.row_number().over(Window.partitionBy(label_col).orderBy(*order)))
+            .filter(F.col(rank) <= most).drop("__salt"))
+
+
+def balanced_cap(df: DataFrame, target: int = rules.CORPUS_TARGET, label_col: str = "label",
+                 order_cols=("ts", "tweet_id")) -> DataFrame:
+    """Keep the first ``target // 2`` rows of each class in arrival order."""
+    return first_per_class(df, target // 2, label_col, order_cols).drop("__rank")
 
 
 def split_bucket(id_col: Column, buckets: int = 100) -> Column:

@@ -11,21 +11,17 @@ Two encodings of a sparse feature vector:
 
 The IDF vector has one entry per bucket, so its size is bounded by
 ``num_features`` whatever the corpus size; it is computed with one partial
-aggregation and applied as a literal array (below ``MAX_LITERAL_FEATURES``)
-or by a join against a ``num_features``-row table.
+aggregation and applied as one literal array.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, IDF
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
 
-MAX_LITERAL_FEATURES = 1 << 16
-MAX_BROADCAST_BUCKETS = 1 << 22  # 4 M buckets x 12 bytes
-
 
 def java_hash(token: Column) -> Column:
     """Java ``String.hashCode`` of an ASCII token, as a signed int."""
@@ -47,7 +43,7 @@ def with_java_tf(df: DataFrame, tokens_col: str = "tokens", num_features: int =
     start.
     """
     s, b = f"__{idx}_sorted", f"__{idx}_starts"
-    staged = df.withColumn(s, F.array_sort(F.transform(F.col(tokens_col), lambda t: term_index(t, num_features))))
+    staged = df.withColumn(s, F.sort_array(F.transform(F.col(tokens_col), lambda t: term_index(t, num_features))))
     staged = staged.withColumn(b, F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(
         F.filter(F.sequence(F.lit(1), F.size(s)),
                  lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1)))))))
@@ -65,7 +61,7 @@ def with_java_tf(df: DataFrame, tokens_col: str = "tokens", num_features: int =
 def doc_frequency(df: DataFrame, idx_col: str = "idx") -> DataFrame:
     """Number of rows that contain each bucket: (idx, df). Partial aggregation
     first, so at most ``num_features`` rows per map partition are shuffled."""
-    return (df.select(F.explode(F.array_distinct(F.col(idx_col))).alias("idx"))
+    return (df.select(F.explode(F.col(idx_col)).alias("idx"))
             .groupBy("idx").agg(F.count(F.lit(1)).alias("df")))
 
 
@@ -79,7 +75,7 @@ def fit_idf(df: DataFrame, num_features: int, idx_col: str = "idx") -> list[floa
     """
     import math
 
-    exploded = df.select(F.posexplode_outer(F.array_distinct(F.col(idx_col))).alias("pos", "idx"))
+    exploded = df.select(F.posexplode_outer(F.col(idx_col)).alias("pos", "idx"))
     stats = exploded.groupBy("idx").agg(
         F.count("pos").alias("df"),
         F.sum(F.when(F.col("pos").isNull() | (F.col("pos") == 0), 1).otherwise(0)).alias("firsts")).collect()
@@ -110,52 +106,20 @@ def double_array_literal(values: list[float]) -> Column:
         arr = spark.sparkContext._gateway.new_array(jvm.double, len(values))
         jvm.java.nio.ByteBuffer.wrap(buf).asDoubleBuffer().get(arr)
         return ClassicColumn(jvm.org.apache.spark.sql.functions.lit(arr))
-    except Exception:  # noqa: BLE001 - no py4j gateway: plain SQL literal
+    except (ImportError, AttributeError):  # no py4j gateway: plain SQL literal
         body = ", ".join(f"{float(v)!r}D" for v in values)
         return F.expr(f"array({body})")
 
 
 def with_tf_idf(df: DataFrame, idf: list[float], idx_col: str = "idx", val_col: str = "val",
                 out: str = "val") -> DataFrame:
-    """Scale term counts by the IDF vector, row-local (the vector rides in the plan)."""
-    if len(idf) > MAX_LITERAL_FEATURES:
-        raise ValueError("IDF vector too large for a literal; use with_tf_idf_join")
+    """Scale term counts by the IDF vector, row-local for any number of buckets: the vector rides in
+    the plan as one literal, its length is a parameter. Rows without features keep empty arrays."""
     weights = double_array_literal(idf)
     return df.withColumn(out, F.zip_with(F.col(idx_col), F.col(val_col),
                                          lambda i, v: v * F.element_at(weights, i + 1)))
 
 
-def with_tf_idf_join(df: DataFrame, idf: DataFrame, key_col: str, idx_col: str = "idx", val_col: str = "val",
-                     out: str = "val") -> DataFrame:
-    """TF-IDF by a join against the (idx, idf) table, for very large bucket counts.
-
-    Explodes the features, joins (the idf side has at most ``num_features``
-    rows) and regroups per ``key_col`` with the order of indices kept.
-    """
-    exploded = df.select(key_col, F.posexplode(F.arrays_zip(F.col(idx_col).alias("i"), F.col(val_col).alias("v")))
-                         .alias("pos", "iv"))
-    # the bucket table has at most num_features rows (a parameter, checked here): broadcast it, so a
-    # hot bucket never concentrates in one shuffle partition
-    buckets = idf.select(F.col("idx").alias("__i"), "idf")
-    if buckets.count() > MAX_BROADCAST_BUCKETS:
-        raise ValueError("bucket table larger than MAX_BROADCAST_BUCKETS")
-    joined = exploded.join(F.broadcast(buckets), F.col("iv.i") == F.col("__i"), "left")
-    regrouped = joined.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("pos"), F.col("iv.i").alias("i"), (F.col("iv.v") * F.coalesce(F.col("idf"), F.lit(0.0))).alias("v"))))
-        .alias("__iv"))
-    rest = df.drop(idx_col, val_col) if out == val_col else df.drop(out)
-    return rest.join(regrouped, key_col).select(
-        *rest.columns, F.col("__iv.i").alias(idx_col), F.col("__iv.v").alias(out))
-
-
 def hashing_tf(num_features: int = rules.ONLINE_FEATURES, input_col: str = "tokens",
                output_col: str = "features") -> HashingTF:
     return HashingTF(numFeatures=num_features, inputCol=input_col, outputCol=output_col)
-
-
-def ml_tf_idf(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, input_col: str = "tokens",
-              output_col: str = "features"):
-    """``HashingTF`` then a fitted ``IDF``; returns (model, transformed)."""
-    tf = hashing_tf(num_features, input_col, "__tf").transform(df)
-    model = IDF(inputCol="__tf", outputCol=output_col).fit(tf)
-    return model, model.transform(tf).drop("__tf")

@@ -32,15 +32,13 @@ def running_totals(df: DataFrame, order_col: str, cols: list[str], descending: b
     """Add ``cum_<c>``: the sum of ``c`` over all rows up to and including this one
     in ``order_col`` order (keys must be distinct). Distributed prefix sum."""
     spark = df.sparkSession
-    if partitions is None:
-        # about ROWS_PER_RANGE rows per range partition, at most the session's shuffle partitions
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(1, min(cap, -(-df.count() // ROWS_PER_RANGE)))
-    n = partitions
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # the upstream runs once: the count and the ranges read this
+    n = partitions or max(1, -(-df.count() // ROWS_PER_RANGE))
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     checkpoint_dir(spark)
     # reliable checkpoint: partition ids stay fixed even if an executor is lost and work is redone
     ranged = df.repartitionByRange(n, order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    df.unpersist()
     totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}")

@@ -6,9 +6,9 @@ The update rule of the streaming/SGD logistic regression this reproduces:
 ``||w_i - w_{i-1}|| < tol * max(||w_i||, 1)``.
 
 Each iteration is one Spark job over the cached data: every task reduces
-its rows with numpy over the Arrow buffers to at most ``num_features``
-partial sums, which are added per bucket. The driver holds only the weight
-vector, whose length is the bucket count (a parameter), never the data.
+its rows with numpy to one partial gradient, and those are added in a tree
+over the executors. The driver holds only vectors whose length is the bucket
+count (a parameter), never the data.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ def margin(idx: Column, val: Column, weights: Column) -> Column:
                        lambda a, b: a + b)
 
 
+PACKED_NNZ = 4_000_000  # non-zeros of a packed row, about
 PACKED_SCHEMA = "n int, y binary, lengths binary, idx binary, val binary"
 
 
@@ -50,18 +51,20 @@ def _pack_batches(label_col: str, idx_col: str, val_col: str):
     import pyarrow as pa
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            c = batch.column(idx_col)
-            lengths = c.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32)
-            idx = c.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-            val = batch.column(val_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            y = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([batch.num_rows], pa.int32())] +
-                [pa.array([a.tobytes()], pa.binary()) for a in (y, lengths, idx, val)],
-                names=["n", "y", "lengths", "idx", "val"])
+        for whole in batches:
+            size = 0 if whole.num_rows == 0 else -(-len(whole.column(idx_col).flatten()) // PACKED_NNZ)
+            step = max(1, whole.num_rows // max(1, size))  # rows of a packed row: bounded buffers
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                c = batch.column(idx_col)
+                lengths = c.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32)
+                idx = c.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+                val = batch.column(val_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                y = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.num_rows], pa.int32())] +
+                    [pa.array([a.tobytes()], pa.binary()) for a in (y, lengths, idx, val)],
+                    names=["n", "y", "lengths", "idx", "val"])
 
     return run
 
@@ -106,57 +109,54 @@ def gradient(data: DataFrame, weights: list[float], label_col: str = "label", id
     return partial.groupBy("j").agg(F.sum("g").alias("g"))
 
 
-# Partition sizing of the cached training data (non-zero features per task), and the
-# partition count up to which per-partition gradients are summed on the driver
-# (at most DRIVER_SUM_PARTITIONS x num_features numbers) instead of by a shuffle.
-TARGET_NNZ_PER_PARTITION = 1_000_000
-DRIVER_SUM_PARTITIONS = 64
+def _arrays(row):
+    """A packed row as numpy arrays (labels, row of each non-zero, indices, values)."""
+    import numpy as np
+
+    y = np.frombuffer(row["y"], np.float64)
+    rows = np.repeat(np.arange(len(y)), np.frombuffer(row["lengths"], np.int32))
+    return y, rows, np.frombuffer(row["idx"], np.int32), np.frombuffer(row["val"], np.float64)
 
 
 def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iterations: int = rules.SGD_ITERATIONS,
               step: float = rules.SGD_STEP, reg_param: float = 0.0, initial_weights: list[float] | None = None,
               tol: float = rules.SGD_CONVERGENCE_TOL, label_col: str = "label", idx_col: str = "idx",
               val_col: str = "val") -> SgdModel:
-    """Full-batch gradient descent, one Spark job per iteration over cached data.
+    """Full-batch gradient descent, one Spark job per iteration over packed, cached data.
 
-    The cached data is coalesced to about ``TARGET_NNZ_PER_PARTITION`` non-zeros
-    per task (small micro-batches: few tasks, little scheduling; large corpora
-    keep every partition). With few partitions each iteration is a single stage
-    whose per-partition gradients are added on the driver; otherwise Spark sums
-    them per bucket with a partial aggregation.
+    The input is evaluated once: packed as flat buffers where it lies, then cached. Every iteration
+    broadcasts the weights, each task returns one partial gradient, and the partial gradients are
+    added in a tree over the executors; the driver gets a few vectors of ``num_features`` numbers
+    whatever the number of tasks. (The packed buffers are opaque to SQL, so the loop is the one place
+    that works on partitions directly: it saves planning a query two hundred times.)
     """
     import numpy as np
 
     w = np.asarray(initial_weights if initial_weights is not None else [0.0] * num_features, dtype=np.float64)
     if len(w) != num_features:
         raise ValueError(f"initial weights have {len(w)} entries, expected {num_features}")
-    source = df.select(label_col, idx_col, val_col)
-    stats = source.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(idx_col)).alias("nnz")).first()
-    n, nnz = int(stats["n"]), int(stats["nnz"] or 0)
-    model = SgdModel(weights=w.tolist(), rows=n)
-    if n == 0:
-        return model
-    parts = max(1, min(source.rdd.getNumPartitions(), -(-nnz // TARGET_NNZ_PER_PARTITION)))
-    # packed once: every iteration then reads flat buffers (one row per Arrow batch of rows)
-    data = (source.coalesce(parts).mapInArrow(_pack_batches(label_col, idx_col, val_col), PACKED_SCHEMA)
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    spark = data.sparkSession
-    aqe = spark.conf.get("spark.sql.adaptive.enabled", "true")
-    if parts <= DRIVER_SUM_PARTITIONS:
-        # the per-iteration jobs are single shuffle-free stages: adaptive re-planning has nothing to
-        # change and only adds planning time to each of up to `iterations` jobs
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    packed = df.select(label_col, idx_col, val_col).mapInArrow(_pack_batches(label_col, idx_col, val_col), PACKED_SCHEMA)
+    data = packed.rdd.map(_arrays).persist(StorageLevel.MEMORY_AND_DISK)
+    context = df.sparkSession.sparkContext
     try:
+        n = int(data.map(lambda p: len(p[0])).sum())
+        model = SgdModel(weights=w.tolist(), rows=n)
         prev = None
-        for i in range(1, iterations + 1):
-            grad = np.zeros(num_features)
-            if parts <= DRIVER_SUM_PARTITIONS:
-                part_rows = data.mapInArrow(_gradient_packed(w.tolist()), "j int, g double").collect()
-            else:
-                part_rows = (data.mapInArrow(_gradient_packed(w.tolist()), "j int, g double")
-                             .groupBy("j").agg(F.sum("g").alias("g")).collect())
-            if part_rows:
-                np.add.at(grad, np.array([r[0] for r in part_rows]), np.array([r[1] for r in part_rows]))
+        for i in range(1, iterations + 1 if n else 1):
+            shared = context.broadcast(w)
+
+            def partial(parts, shared=shared):
+                current = shared.value
+                total = np.zeros(len(current))
+                for y, rows, idx, val in parts:
+                    margins = np.bincount(rows, weights=current[idx] * val, minlength=len(y))
+                    with np.errstate(over="ignore"):  # exp overflow -> inf -> probability 0, as intended
+                        mult = 1.0 / (1.0 + np.exp(-margins)) - y
+                    total += np.bincount(idx, weights=val * mult[rows], minlength=len(current))
+                yield total
+
+            grad = data.mapPartitions(partial).treeReduce(np.add)
+            shared.unpersist()
             eta = step / math.sqrt(i)
             w = w * (1.0 - eta * reg_param) - eta * grad / n
             model.iterations = i
@@ -167,7 +167,6 @@ def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iteratio
         model.weights = w.tolist()
         return model
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
         data.unpersist()
 
 

@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEARCH_KEYWORD = "haha"
 STAT_VERSIONS = 20  # evaluations per trainer in the statistics fixture
 STREAM_BATCH = 50  # tweets per micro-batch when a stream is replayed in batch
+CAP_TARGET = 60  # corpus target of the cap queries: small enough to bite at every scale
 
 
 def _tweets(spark, sf):
@@ -64,8 +65,9 @@ def q_label_recode(spark, sf):
 
 
 def q_class_split(spark, sf):
-    positives, _ = corpus.class_split(labelled(spark, sf))
-    return positives.select("tweet_id")
+    positives, negatives = corpus.class_split(labelled(spark, sf))
+    return positives.select("tweet_id", F.lit("positive").alias("class")).unionByName(
+        negatives.select("tweet_id", F.lit("negative").alias("class")))
 
 
 def q_corpus_union(spark, sf):
@@ -111,13 +113,13 @@ def streamed_corpus(spark, sf):
 
 
 def q_balanced_cap(spark, sf):
-    return corpus.balanced_cap(streamed_corpus(spark, sf)).select("tweet_id", "label")
+    return corpus.balanced_cap(streamed_corpus(spark, sf), CAP_TARGET).select("tweet_id", "label")
 
 
 def q_corpus_progress(spark, sf):
     """Per micro-batch of arrival: positives and negatives collected so far (each capped
     at half the target), up to the batch in which both classes are full."""
-    half = rules.CORPUS_TARGET // 2
+    half = CAP_TARGET // 2
     per_batch = (streamed_corpus(spark, sf)
                  .withColumn("batch_id", F.floor(F.col("tweet_id") / STREAM_BATCH).cast("long"))
                  .groupBy("batch_id")
@@ -350,8 +352,3 @@ def all_queries() -> dict[str, Query]:
     out = dict(QUERIES)
     out.update(models.QUERIES)
     return out
-
-
-def q_classify_summary(spark, sf):
-    from moodwire.plans import models
-    return models.q_classify_summary(spark, sf)

@@ -19,7 +19,7 @@ from moodwire.streaming import online
 
 NOTEBOOK_FEATURES = 3000  # buckets of the exploratory notebook
 NOTEBOOK_REG = 0.01  # default regularization of the SGD trainer it called
-STREAM_FILES = 2  # status files replayed as micro-batches
+STREAM_RANGES = 4  # ranges of arrival, each replayed as one micro-batch
 
 _memo: dict[tuple, object] = {}
 
@@ -137,11 +137,11 @@ def q_sgd_statistics(spark, sf):
 
 # ----------------------------------------------------------------------------- streams
 
-def status_files(spark, sf):
-    def build():
-        path = work_path(spark, "status")
-        return online.write_status_files(tables.tweets(spark, sf), path, STREAM_FILES)
-    return _once(spark, sf, "status_files", build)
+def replayed(spark, sf, run) -> None:
+    """Land the status table range by range and call ``run(stream)`` after each."""
+    path = work_path(spark, "status")
+    for _ in online.land_in_order(tables.tweets(spark, sf), work_path(spark, "status-staging"), path, STREAM_RANGES):
+        run(online.status_stream(spark, path))
 
 
 def corpus_idf(spark, sf):
@@ -155,7 +155,7 @@ def online_trainer(spark, sf):
     def run():
         holdout = _test(spark, sf).select(F.col("tweet").alias("text"), "label")
         trainer = online.OnlineTrainer(spark, idf=corpus_idf(spark, sf), holdout=holdout, evaluate_every=1)
-        trainer.run(online.status_stream(spark, status_files(spark, sf)))
+        replayed(spark, sf, trainer.run)
         return trainer
     return _once(spark, sf, "online_trainer", run)
 
@@ -205,8 +205,8 @@ def q_online_statistics(spark, sf):
 
 def stream_collector(spark, sf):
     def run():
-        collector = online.CorpusCollector(spark)
-        collector.run(online.status_stream(spark, status_files(spark, sf)))
+        collector = online.CorpusCollector(spark, target=catalog.CAP_TARGET)
+        replayed(spark, sf, lambda stream: None if collector.state.full else collector.run(stream))
         return collector
     return _once(spark, sf, "collector", run)
 
@@ -234,12 +234,14 @@ def q_corpus_csv(spark, sf):
 def q_corpus_build(spark, sf, source: str = "file"):
     """The corpus from either source, same columns: (text, label)."""
     if source == "stream":
-        kept = stream_collector(spark, sf).corpus().select("tweet_id")
-        return tables.tweets(spark, sf).join(kept, "tweet_id").select(
-            "text", corpus.text.distant_label(F.col("text")).alias("label"))
+        return stream_collector(spark, sf).corpus().select("text", "label")
     return files.read_sentiment_csv(spark, csv_corpus_path(spark, sf))
 
 
+def q_corpus_build_stream(spark, sf):
+    return q_corpus_build(spark, sf, "stream")
+
+
 def q_corpus_dump(spark, sf):
     path = work_path(spark, "corpus-dump")
     files.dump_corpus(catalog.tokenized(spark, sf), path)
@@ -283,8 +285,9 @@ def predictors(spark, sf) -> dict:
 
 def classify(spark, sf) -> DataFrame:
     """Both models on the keyword's tweets."""
-    hits = corpus.with_tokens(search_hits(spark, sf), text_col="tweet")
-    return classify_with(hits, predictors(spark, sf))
+    def build():  # at most SEARCH_LIMIT rows, read by each predictor: search once
+        return corpus.with_tokens(search_hits(spark, sf), text_col="tweet").persist()
+    return classify_with(_once(spark, sf, "search_hits", build), predictors(spark, sf))
 
 
 def q_classify_keyword(spark, sf):
@@ -345,6 +348,7 @@ QUERIES = {
     "stream_progress": q_stream_progress,
     "corpus_csv": q_corpus_csv,
     "corpus_build": q_corpus_build,
+    "corpus_build_stream": q_corpus_build_stream,
     "corpus_dump": q_corpus_dump,
     "tweet_features": q_tweet_features,
     "classify_keyword": q_classify_keyword,

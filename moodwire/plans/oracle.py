@@ -29,7 +29,7 @@ _NEG = O.contains_any("text", rules.NEGATIVE_TERMS)
 _BUCKET = "((('0x' || substr(md5(CAST(tweet_id AS VARCHAR)), 1, 8))::BIGINT % 100) + 100) % 100"
 _SPLIT = f"CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END"
 _FIXTURE = "CAST((((tweet_id * 37) % 101 + 101) % 101) AS DOUBLE) / 100.0"
-_HALF = rules.CORPUS_TARGET // 2
+_HALF = catalog.CAP_TARGET // 2
 _STRIPPED = "text"
 for _term in rules.TRACKED_TERMS:
     _STRIPPED = f"replace({_STRIPPED}, {O.lit(_term)}, '')"
@@ -77,7 +77,7 @@ STREAMED = f"""streamed AS (
 
 
 def _stream_corpus_cte() -> str:
-    from moodwire.plans.models import STREAM_FILES
+    from moodwire.plans.models import STREAM_RANGES
 
     return f"""{STREAMED},
 bounds AS (SELECT min(tweet_id) AS lo, max(tweet_id) AS hi FROM tweets),
@@ -87,8 +87,8 @@ capped AS (
   WHERE r <= {_HALF}),
 stream_corpus AS (
   SELECT tweet_id, label,
-         CAST(least(floor((tweet_id - (SELECT lo FROM bounds)) * {STREAM_FILES}
-                          / ((SELECT hi FROM bounds) - (SELECT lo FROM bounds) + 1)), {STREAM_FILES} - 1) AS BIGINT)
+         CAST(least(floor((tweet_id - (SELECT lo FROM bounds)) * {STREAM_RANGES}
+                          / ((SELECT hi FROM bounds) - (SELECT lo FROM bounds) + 1)), {STREAM_RANGES} - 1) AS BIGINT)
            AS batch_id
   FROM capped)"""
 
@@ -115,7 +115,7 @@ SQL: dict[str, str] = {
 coded AS (SELECT tweet_id, CASE WHEN {_POS} THEN '4' WHEN {_NEG} THEN '0' ELSE '2' END AS polarity FROM tweets)
 SELECT tweet_id, CASE polarity WHEN '0' THEN 0.0::DOUBLE WHEN '4' THEN 1.0::DOUBLE END AS label
 FROM coded WHERE polarity IN ('0', '4')""",
-    "class_split": f"{BASE}\nSELECT tweet_id FROM labelled WHERE label = 1.0",
+    "class_split": f"{BASE}\nSELECT tweet_id, CASE WHEN label = 1.0 THEN 'positive' ELSE 'negative' END AS class FROM labelled",
     "corpus_union": f"{BASE}\nSELECT tweet_id, label FROM labelled WHERE label = 1.0 "
                     f"UNION ALL SELECT tweet_id, label FROM labelled WHERE label = 0.0",
     "sentiment_decision": f"{BASE}\nSELECT tweet_id, {_FIXTURE} AS prediction, "
@@ -191,6 +191,7 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
        CAST(sum(neg) OVER (ORDER BY batch_id) AS BIGINT) AS negatives FROM per""",
     "corpus_csv": _CSV_CORPUS,
     "corpus_build": _CSV_CORPUS,
+    "corpus_build_stream": f"{BASE},\n{_stream_corpus_cte()}\nSELECT t.text, c.label FROM stream_corpus c JOIN tweets t USING (tweet_id)",
     "corpus_dump": f"{BASE},\n{TOKENIZED}\nSELECT t.tokens, l.label FROM tokenized t JOIN labelled l USING (tweet_id)",
     "tweet_features": f"""{BASE},
 {TOKENIZED},

@@ -6,7 +6,7 @@ caller's. ``local_session`` is for tests, the bench and examples.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -23,10 +23,11 @@ def local_session(cores: int | str = "*", app: str = "moodwire", shuffle_partiti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.worker.reuse", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -36,7 +37,8 @@ def local_session(cores: int | str = "*", app: str = "moodwire", shuffle_partiti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder set.
+    A session that names none gets a private folder only where all work runs in one process
+    (master ``local`` or ``local[...]``); on a cluster executors could not see it, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="moodwire-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -53,16 +57,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for tables a job writes."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/moodwire/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_os_path(path)), exist_ok=True)

@@ -16,9 +16,11 @@ is the bucket count) reach the driver.
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
@@ -28,28 +30,34 @@ from moodwire.session import work_path
 STATUS_SCHEMA = "tweet_id long, ts timestamp, text string, lang string, is_retweet boolean"
 
 
-def write_status_files(df: DataFrame, path: str, files: int) -> str:
-    """Lay a status table out as ``files`` parquet files in arrival order (a replayable source).
+def land_in_order(df: DataFrame, staging: str, path: str, ranges: int) -> Iterator[int]:
+    """Lay a status table out as a replayable source, one range of ``ts`` after another.
 
-    The file source takes files oldest first, so the ``ts`` ranges are written one
-    after another, each as its own file.
+    One parallel pass writes the table to ``staging``, partitioned by range; then each range is
+    copied to ``path`` by as many tasks as it has files, and its number is yielded. A stream that is
+    run after each yield takes one range as one micro-batch, in arrival order, read in parallel.
     """
+    spark = df.sparkSession
     bounds = df.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     if bounds["lo"] is None:
-        return path
+        return
     lo, hi = bounds["lo"], bounds["hi"]
     span = (hi - lo).total_seconds() + 1.0
     pos = (F.unix_micros("ts") - F.lit(int(lo.timestamp() * 1_000_000))) / 1e6
-    bucket = F.least(F.floor(pos * files / span), F.lit(files - 1))
-    staged = df.withColumn("__file", bucket)
-    for i in range(files):
-        (staged.filter(F.col("__file") == i).drop("__file").coalesce(1).sortWithinPartitions("ts", "tweet_id")
-         .write.mode("append").parquet(path))
-    return path
+    part = F.least(F.floor(pos * ranges / span), F.lit(ranges - 1)).cast("int")
+    df.withColumn("__range", part).write.partitionBy("__range").parquet(staging)
+    staged = spark.read.schema(f"{STATUS_SCHEMA}, __range int").parquet(staging)
+    for i in range(ranges):
+        staged.filter(F.col("__range") == i).drop("__range").write.mode("append").parquet(path)
+        yield i
 
 
-def status_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(STATUS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def status_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The landed files as a stream; by default a micro-batch takes all that have arrived."""
+    reader = spark.readStream.schema(STATUS_SCHEMA)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def labelled_stream(stream: DataFrame) -> DataFrame:
@@ -57,12 +65,15 @@ def labelled_stream(stream: DataFrame) -> DataFrame:
     return corpus.with_distant_label(corpus.english_originals(corpus.tracked(stream)))
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet. Any other failure to read raises:
+    taken for an empty table it would start the caps or the weights anew."""
     try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - a missing path is the normal first-batch case
-        return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 # ----------------------------------------------------------------------------- corpus collection
@@ -87,10 +98,10 @@ class CorpusCollector:
         self._stop = threading.Event()
 
     def counts_before(self, batch_id: int) -> dict[float, int]:
-        if not _table_exists(self.spark, self.corpus_path):
+        table = _table(self.spark, self.corpus_path, "label double, batch_id long")
+        if table is None:
             return {}
-        rows = (self.spark.read.parquet(self.corpus_path).filter(F.col("batch_id") < batch_id)
-                .groupBy("label").count().collect())
+        rows = table.filter(F.col("batch_id") < batch_id).groupBy("label").count().collect()
         return {r["label"]: r["count"] for r in rows}
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
@@ -100,12 +111,9 @@ class CorpusCollector:
             self.state.full = True
             self._stop.set()
             return
-        w = Window.partitionBy("label").orderBy("ts", "tweet_id")
-        # the first conjunct lets Spark plan a window group limit (top rows per class before the shuffle)
-        capped = (batch.withColumn("__r", F.row_number().over(w))
-                  .filter((F.col("__r") <= max(room.values()))
-                          & (((F.col("label") == 1.0) & (F.col("__r") <= room[1.0]))
-                             | ((F.col("label") == 0.0) & (F.col("__r") <= room[0.0]))))
+        first = corpus.first_per_class(batch, max(room.values()), rank="__r")
+        capped = (first.filter(((F.col("label") == 1.0) & (F.col("__r") <= room[1.0]))
+                               | ((F.col("label") == 0.0) & (F.col("__r") <= room[0.0])))
                   .drop("__r").withColumn("batch_id", F.lit(batch_id).cast("long")))
         (capped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.corpus_path))
@@ -164,6 +172,7 @@ class OnlineTrainer:
         # periodic evaluation: every k-th version is scored on ``holdout`` (labelled tweets with
         # a ``text`` column) and one statistics row is appended
         self.holdout = holdout
+        self._holdout_features: DataFrame | None = None
         self.evaluate_every = max(1, evaluate_every)
         self.statistics_path = statistics_path or work_path(spark, "statistics")
         self.num_features = num_features
@@ -173,12 +182,10 @@ class OnlineTrainer:
         self.idf = idf  # None: train on term frequencies, as the stream did
 
     def weights_before(self, version: int) -> list[float]:
-        if _table_exists(self.spark, self.weights_path):
-            rows = (self.spark.read.parquet(self.weights_path).filter(F.col("version") < version)
-                    .orderBy(F.col("version").desc()).limit(1).collect())
-            if rows:
-                return list(rows[0]["weights"])
-        return [0.0] * self.num_features
+        table = _table(self.spark, self.weights_path, "weights array<double>, version long")
+        rows = [] if table is None else (table.filter(F.col("version") < version)
+                                         .orderBy(F.col("version").desc()).limit(1).collect())
+        return list(rows[0]["weights"]) if rows else [0.0] * self.num_features
 
     def features(self, batch: DataFrame) -> DataFrame:
         tf = features.with_java_tf(corpus.with_tokens(batch), num_features=self.num_features)
@@ -202,7 +209,9 @@ class OnlineTrainer:
         (idempotent: a replay overwrites its own row)."""
         from moodwire.operators import metrics
 
-        scored = sgd.with_online_prediction(self.features(self.holdout), weights).withColumnRenamed(
+        if self._holdout_features is None:  # tokenized once, kept for the later versions
+            self._holdout_features = self.features(self.holdout).select("label", "idx", "val").persist()
+        scored = sgd.with_online_prediction(self._holdout_features, weights).withColumnRenamed(
             "probability", "score")
         stats = metrics.statistics_row(scored, "online", f"sgd(version={version})", version)
         (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

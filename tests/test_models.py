@@ -43,11 +43,14 @@ def test_sgd_matches_numpy(spark, tf, reg):
     assert np.allclose(model.weights, ref, atol=1e-9)
 
 
-def test_sgd_shuffle_path_equals_driver_sum(spark, tf, monkeypatch):
+def test_sgd_does_not_depend_on_partitions_or_touch_the_session(spark, tf, monkeypatch):
+    before = dict(spark.conf.getAll)
     a = sgd.train_sgd(tf, 200, iterations=5)
-    monkeypatch.setattr(sgd, "DRIVER_SUM_PARTITIONS", 0)
-    b = sgd.train_sgd(tf, 200, iterations=5)
-    assert np.allclose(a.weights, b.weights, atol=1e-12)
+    monkeypatch.setattr(sgd, "PACKED_NNZ", 50)  # many small packed rows
+    b = sgd.train_sgd(tf.repartition(13), 200, iterations=5)
+    assert np.allclose(a.weights, b.weights, atol=1e-9)
+    assert dict(spark.conf.getAll) == before
+    assert sgd.train_sgd(tf.limit(0), 200, iterations=5).weights == [0.0] * 200
 
 
 def test_sgd_warm_start_continues(spark, tf):
@@ -104,16 +107,11 @@ def test_idf_matches_ml_idf(spark, tf):
     assert np.allclose(ours, theirs, atol=1e-12)
 
 
-def test_tf_idf_join_path_equals_literal_path(spark, tf):
-    idf = features.fit_idf(tf, 200)
-    lit = {r["tweet_id"]: (r["idx"], r["val"]) for r in features.with_tf_idf(tf, idf).collect()}
-    table = spark.createDataFrame([(i, v) for i, v in enumerate(idf)], "idx int, idf double")
-    joined = {r["tweet_id"]: (r["idx"], r["val"]) for r in
-              features.with_tf_idf_join(tf, table, "tweet_id").collect()}
-    assert lit.keys() == joined.keys()
-    for k in lit:
-        assert lit[k][0] == joined[k][0]
-        assert np.allclose(lit[k][1], joined[k][1], atol=1e-12)
+def test_tf_idf_with_many_buckets_keeps_rows_without_features(spark):
+    d = spark.createDataFrame([(1, [0, 99_999], [2.0, 1.0]), (2, [], [])], "tweet_id long, idx array<int>, val array<double>")
+    idf = [float(i) for i in range(100_000)]
+    got = {r.tweet_id: r.val for r in features.with_tf_idf(d, idf).collect()}
+    assert got == {1: [0.0, 99_999.0], 2: []}
 
 
 def test_gradient_frame_matches_numpy(spark, tf):

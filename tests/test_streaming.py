@@ -1,6 +1,7 @@
 """Streams against the same plan in batch, restart idempotency, the entry contract."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
@@ -10,10 +11,40 @@ from moodwire.sources import tables
 from moodwire.streaming import online
 
 
+def landed(spark, small_dir, ranges):
+    """The source folder, once after each range of arrival has landed in it."""
+    path = work_path(spark, "t-status")
+    for _ in online.land_in_order(tables.tweets(spark, small_dir), work_path(spark, "t-staging"), path, ranges):
+        yield path
+
+
+def test_landed_ranges_are_whole_and_in_order(spark, small_dir):
+    table, seen = tables.tweets(spark, small_dir), []
+    for path in landed(spark, small_dir, 4):
+        now = {r.tweet_id for r in spark.read.parquet(path).select("tweet_id").collect()}
+        new = sorted(now - set(seen))
+        assert not seen or not new or new[0] > max(seen)
+        seen += new
+    assert len(seen) == table.count()
+
+
+def test_unreadable_state_raises_instead_of_starting_anew(spark, tmp_path):
+    """A missing table means nothing was collected; a broken one must not pass for that."""
+    collector = online.CorpusCollector(spark, corpus_path=str(tmp_path / "none"))
+    assert collector.counts_before(3) == {}
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    trainer = online.OnlineTrainer(spark, weights_path=str(broken), num_features=10)
+    with pytest.raises(Exception):
+        trainer.weights_before(1)
+
+
 def test_stream_corpus_equals_batch_cap(spark, small_dir):
-    path = online.write_status_files(tables.tweets(spark, small_dir), work_path(spark, "t-status"), 3)
     collector = online.CorpusCollector(spark, target=40)
-    got = collector.run(online.status_stream(spark, path))
+    for path in landed(spark, small_dir, 3):
+        if not collector.state.full:
+            got = collector.run(online.status_stream(spark, path))
     batch = catalog.corpus.balanced_cap(catalog.streamed_corpus(spark, small_dir), target=40)
     assert sorted(r.tweet_id for r in got.collect()) == sorted(r.tweet_id for r in batch.collect())
     prog = collector.progress().orderBy("batch_id").collect()
@@ -21,9 +52,9 @@ def test_stream_corpus_equals_batch_cap(spark, small_dir):
 
 
 def test_online_trainer_versions_and_replay(spark, small_dir):
-    path = online.write_status_files(tables.tweets(spark, small_dir), work_path(spark, "t-status2"), 2)
     trainer = online.OnlineTrainer(spark, num_features=100, iterations=4)
-    trainer.run(online.status_stream(spark, path))
+    for path in landed(spark, small_dir, 2):
+        trainer.run(online.status_stream(spark, path))
     assert [v["version"] for v in trainer.versions().orderBy("version").collect()] == [0, 1]
 
     # a replayed batch starts again from the previous version, so it writes the same weights
@@ -45,7 +76,7 @@ def test_entry_runs(spark):
 
 
 def test_collector_with_processing_time_trigger_stops_when_full(spark, small_dir):
-    path = online.write_status_files(tables.tweets(spark, small_dir), work_path(spark, "t-status3"), 3)
+    *_, path = landed(spark, small_dir, 3)
     collector = online.CorpusCollector(spark, target=20)
     got = collector.run(online.status_stream(spark, path), available_now=False, timeout=120)
     assert collector.state.full
