@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
@@ -72,12 +72,20 @@ def predict_batch(model, tweets: DataFrame, keep=("tweet_id",)) -> DataFrame:
                       vector_to_array(F.col("probability")).getItem(1).alias("score"))
 
 
-def save_model(model, path: str) -> None:
+def save_model(model: PipelineModel, folder: str, version: int) -> None:
+    """Save a fitted pipeline as ``version`` under ``folder``; the row in the versions table comes
+    last, so a reader never finds a half-written model."""
+    path = f"{folder}/models/{version}"
     model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(int(version), path)], "version long, path string").coalesce(1).write.mode("append").parquet(
+        f"{folder}/versions")
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_latest(spark: SparkSession, folder: str) -> tuple[int, PipelineModel]:
+    """(version, model) of the highest saved version."""
+    row = spark.read.parquet(f"{folder}/versions").orderBy(F.col("version").desc()).first()
+    return row["version"], PipelineModel.load(row["path"])
 
 
 def pca(df: DataFrame, k: int = 3, input_col: str = "features") -> DataFrame:

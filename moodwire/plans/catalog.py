@@ -243,6 +243,14 @@ def q_tf_idf(spark, sf):
     return out.select("tweet_id", "idx", F.transform("val", lambda v: F.round(v, 9)).alias("val"))
 
 
+def q_hashing_tf_totals(spark, sf):
+    """Term totals of the ml vectors: every token counts in some bucket."""
+    from pyspark.ml.functions import vector_to_array
+
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).cast("long")
+    return features.hashing_tf().transform(tokenized(spark, sf)).select("tweet_id", total.alias("total"))
+
+
 def q_hashing_tf(spark, sf):
     return features.hashing_tf().transform(tokenized(spark, sf)).select("tweet_id", "features")
 
@@ -337,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "doc_frequency": q_doc_frequency,
     "tf_idf": q_tf_idf,
     "hashing_tf": q_hashing_tf,
+    "hashing_tf_totals": q_hashing_tf_totals,
     "auc_roc": q_auc_roc,
     "auc_pr": q_auc_pr,
     "accuracy": q_accuracy,

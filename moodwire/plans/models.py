@@ -66,6 +66,25 @@ def q_predict_batch(spark, sf):
     return train.predict_batch(batch_model(spark, sf).bestModel, _test(spark, sf))
 
 
+def q_predict_batch_checks(spark, sf):
+    """Per held-out tweet: the class is the probability above one half."""
+    scored = train.predict_batch(batch_model(spark, sf).bestModel, _test(spark, sf))
+    return scored.select("tweet_id", ((F.col("score") > 0.5).cast("double") == F.col("prediction")).alias("consistent"))
+
+
+def q_batch_latest_model(spark, sf):
+    """Two versions of the batch model saved, the latest loaded and used: per held-out tweet its
+    version, and whether it predicts what the model in memory does."""
+    folder, best = work_path(spark, "batch-models"), batch_model(spark, sf).bestModel
+    for version in (0, 1):
+        train.save_model(best, folder, version)
+    version, loaded = train.load_latest(spark, folder)
+    again = train.predict_batch(loaded, _test(spark, sf)).select("tweet_id", F.col("score").alias("loaded"))
+    first = train.predict_batch(best, _test(spark, sf)).select("tweet_id", "score")
+    return first.join(again, "tweet_id").select("tweet_id", F.lit(version).cast("long").alias("version"),
+                                                (F.col("score") == F.col("loaded")).alias("same"))
+
+
 def q_batch_statistics(spark, sf):
     model = batch_model(spark, sf).bestModel
     scored = train.predict_batch(model, _test(spark, sf), keep=("tweet_id", "label"))
@@ -87,6 +106,22 @@ def sgd_model(spark, sf):
     return _once(spark, sf, "sgd", fit)
 
 
+def first_steps(spark, sf, steps: int, initial=None) -> DataFrame:
+    """Weights (bucket, weight) after a few steps over all labelled tweets."""
+    data = catalog.java_tf(spark, sf).select("label", "idx", "val")
+    model = sgd.train_sgd(data, rules.ONLINE_FEATURES, steps, rules.SGD_STEP, NOTEBOOK_REG, initial)
+    return spark.createDataFrame([(j, round(float(w), 6)) for j, w in enumerate(model.weights)], "bucket int, weight double")
+
+
+def q_sgd_three_steps(spark, sf):
+    return first_steps(spark, sf, 3)
+
+
+def q_sgd_warm_start_steps(spark, sf):
+    """Two steps from given weights (w_j = ((7 j) mod 13 - 6) / 100)."""
+    return first_steps(spark, sf, 2, [((7 * j) % 13 - 6) / 100 for j in range(rules.ONLINE_FEATURES)])
+
+
 def q_train_sgd(spark, sf):
     return sgd.weights_frame(spark, sgd_model(spark, sf))
 
@@ -165,10 +200,15 @@ def q_train_online(spark, sf):
 
 
 def q_model_versions(spark, sf):
-    return online_trainer(spark, sf).versions().select("version", "rows", "iterations", "converged",
+    return online_trainer(spark, sf).versions().select(F.col("version").cast("long"), "rows",
                                                        F.size("weights").alias("num_weights"))
 
 
+def q_statistics_counts(spark, sf):
+    """What the periodic evaluation wrote: versions and rows scored."""
+    return online_trainer(spark, sf).statistics().select("trainer", F.col("model_version").cast("long"), "n")
+
+
 def q_latest_model(spark, sf):
     return online_trainer(spark, sf).latest().select("version", "weights", "intercept")
 
@@ -294,6 +334,11 @@ def q_classify_keyword(spark, sf):
     return classify(spark, sf)
 
 
+def q_classify_coverage(spark, sf):
+    """Which tweets which model scored, whatever it said."""
+    return classify(spark, sf).select("model", "tweet_id", F.col("prediction").isin(0.0, 1.0).alias("decided"))
+
+
 def q_classification_json(spark, sf):
     """The answer of a classification request; at most SEARCH_LIMIT tweets per model."""
     c = classify(spark, sf).select("model", F.struct("tweet", F.col("prediction").cast("string").alias("sentiment"))
@@ -333,6 +378,12 @@ def q_pca(spark, sf):
 QUERIES = {
     "train_batch": q_train_batch,
     "predict_batch": q_predict_batch,
+    "predict_batch_checks": q_predict_batch_checks,
+    "batch_latest_model": q_batch_latest_model,
+    "sgd_three_steps": q_sgd_three_steps,
+    "sgd_warm_start_steps": q_sgd_warm_start_steps,
+    "statistics_counts": q_statistics_counts,
+    "classify_coverage": q_classify_coverage,
     "batch_statistics": q_batch_statistics,
     "train_sgd": q_train_sgd,
     "train_cv_grid": q_train_cv_grid,

@@ -93,6 +93,38 @@ stream_corpus AS (
   FROM capped)"""
 
 
+def _sgd_sql(steps: int, start: str) -> str:
+    """Unrolled gradient steps over all labelled tweets, weights rounded to 6 places."""
+    from moodwire.plans.models import NOTEBOOK_REG
+
+    n = "(SELECT count(*) FROM labelled)"
+    parts = [f"{BASE},\n{TOKENIZED},\n{JAVA_TF}",
+             f"w0 AS (SELECT CAST(j AS INTEGER) AS idx, CAST({start} AS DOUBLE) AS w FROM range({rules.ONLINE_FEATURES}) r(j))"]
+    for i in range(1, steps + 1):
+        eta = rules.SGD_STEP / i**0.5
+        parts.append(f"""margin{i} AS (SELECT tweet_id, sum(val * w) AS m FROM counted JOIN w{i - 1} USING (idx) GROUP BY tweet_id),
+grad{i} AS (SELECT idx, sum(val * (1 / (1 + exp(-m)) - label)) AS g
+           FROM counted JOIN margin{i} USING (tweet_id) JOIN labelled USING (tweet_id) GROUP BY idx),
+w{i} AS (SELECT idx, w * (1 - {eta!r}::DOUBLE * {NOTEBOOK_REG}) - {eta!r}::DOUBLE * coalesce(g, 0) / {n} AS w
+        FROM w{i - 1} LEFT JOIN grad{i} USING (idx))""")
+    return ",\n".join(parts) + f"\nSELECT idx AS bucket, round(w, 6) AS weight FROM w{steps}"
+
+
+def _stream_ranges() -> str:
+    from moodwire.plans.models import STREAM_RANGES
+
+    return f"""{STREAMED},
+bounds AS (SELECT min(tweet_id) AS lo, max(tweet_id) AS hi FROM tweets),
+versions AS (
+  SELECT CAST(least(floor((tweet_id - (SELECT lo FROM bounds)) * {STREAM_RANGES}
+                          / ((SELECT hi FROM bounds) - (SELECT lo FROM bounds) + 1)), {STREAM_RANGES} - 1) AS BIGINT)
+           AS version, count(*) AS rows
+  FROM streamed GROUP BY 1)"""
+
+
+_HITS = (f"SELECT tweet_id FROM tweets WHERE lang = 'en' AND NOT is_retweet AND contains(lower(text), "
+         f"'{catalog.SEARCH_KEYWORD}') ORDER BY ts DESC, tweet_id LIMIT {rules.SEARCH_LIMIT}")
+
 _CSV_CORPUS = f"""{BASE}
 SELECT text, CASE WHEN {_POS} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM tweets WHERE {_POS} OR {_NEG}"""
 
@@ -189,6 +221,16 @@ per AS (SELECT batch_id, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label)
         FROM stream_corpus GROUP BY batch_id)
 SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
        CAST(sum(neg) OVER (ORDER BY batch_id) AS BIGINT) AS negatives FROM per""",
+    "sgd_three_steps": _sgd_sql(3, "0"),
+    "sgd_warm_start_steps": _sgd_sql(2, "((7 * j) % 13 - 6) / 100.0"),
+    "model_versions": f"{BASE},\n{_stream_ranges()}\nSELECT version, rows, CAST({rules.ONLINE_FEATURES} AS INTEGER) AS num_weights FROM versions",
+    "statistics_counts": f"{BASE},\n{_stream_ranges()}\nSELECT 'online' AS trainer, version AS model_version, "
+                         f"(SELECT count(*) FROM tweets WHERE {_SPLIT} = 'test') AS n FROM versions",
+    "predict_batch_checks": f"{BASE}\nSELECT tweet_id, true AS consistent FROM tweets WHERE {_SPLIT} = 'test'",
+    "batch_latest_model": f"{BASE}\nSELECT tweet_id, 1::BIGINT AS version, true AS same FROM tweets WHERE {_SPLIT} = 'test'",
+    "classify_coverage": f"{BASE},\nhits AS ({_HITS})\nSELECT model, tweet_id, true AS decided FROM hits, "
+                         f"(VALUES ('batch'), ('online')) v(model)",
+    "hashing_tf_totals": f"{BASE},\n{TOKENIZED}\nSELECT tweet_id, CAST(len(tokens) AS BIGINT) AS total FROM tokenized",
     "corpus_csv": _CSV_CORPUS,
     "corpus_build": _CSV_CORPUS,
     "corpus_build_stream": f"{BASE},\n{_stream_corpus_cte()}\nSELECT t.text, c.label FROM stream_corpus c JOIN tweets t USING (tweet_id)",
