@@ -29,32 +29,32 @@ EMOTICONS: list[tuple[str, str]] = [
     (";-)", GOOD),
     ("(- ->", GOOD),
     ("( ->", GOOD),
-    ("\U0001F603", GOOD),  # smiley, open mouth
-    ("\U0001F604", GOOD),  # smile
-    ("\U0001F60A", GOOD),  # smiling eyes
-    ("\U0001F600", GOOD),  # grin
-    ("\U0001F617", GOOD),  # kiss
-    ("\U0001F61B", GOOD),  # tongue
-    ("☺", GOOD),  # relaxed
-    ("✌", GOOD),  # victory
-    ("❤", GOOD),  # heart
-    ("⭐", GOOD),  # star
-    ("\U0001F44D", GOOD),  # thumbs up
-    ("\U0001F44C", GOOD),  # ok hand
-    ("\U0001F44F", GOOD),  # clapping hands
-    ("\U0001F602", GOOD),  # tears of joy
-    ("\U0001F606", GOOD),  # laughing
-    ("\U0001F60B", GOOD),  # yum
-    ("\U0001F60D", GOOD),  # heart eyes
+    ("\U0001F603", GOOD),  # smiling face with open mouth
+    ("\U0001F604", GOOD),  # smiling face with open mouth and smiling eyes
+    ("\U0001F60A", GOOD),  # smiling face with smiling eyes
+    ("\U0001F600", GOOD),  # grinning face
+    ("\U0001F617", GOOD),  # kissing face
+    ("\U0001F61B", GOOD),  # face with stuck-out tongue
+    ("☺", GOOD),  # white smiling face
+    ("✌", GOOD),  # victory hand
+    ("❤", GOOD),  # heavy black heart
+    ("⭐", GOOD),  # white medium star
+    ("\U0001F44D", GOOD),  # thumbs up sign
+    ("\U0001F44C", GOOD),  # ok hand sign
+    ("\U0001F44F", GOOD),  # clapping hands sign
+    ("\U0001F602", GOOD),  # face with tears of joy
+    ("\U0001F606", GOOD),  # smiling face with open mouth and tightly-closed eyes
+    ("\U0001F60B", GOOD),  # face savouring delicious food
+    ("\U0001F60D", GOOD),  # smiling face with heart-shaped eyes
     # negative
-    ("\U0001F61F", BAD),  # worried
-    ("\U0001F626", BAD),  # frowning
-    ("\U0001F627", BAD),  # anguished
-    ("\U0001F615", BAD),  # confused
-    ("\U0001F61E", BAD),  # disappointed
-    ("\U0001F620", BAD),  # angry
-    ("\U0001F622", SAD),  # cry
-    ("\U0001F621", SAD),  # rage
+    ("\U0001F61F", BAD),  # worried face
+    ("\U0001F626", BAD),  # frowning face with open mouth
+    ("\U0001F627", BAD),  # anguished face
+    ("\U0001F615", BAD),  # confused face
+    ("\U0001F61E", BAD),  # disappointed face
+    ("\U0001F620", BAD),  # angry face
+    ("\U0001F622", SAD),  # crying face
+    ("\U0001F621", SAD),  # pouting face
     (" ->/", BAD),
     (" ->&gt;", SAD),
     (" ->')", SAD),

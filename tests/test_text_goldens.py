@@ -1,4 +1,7 @@
-"""The reference's own golden values (normalizers, stemmer, tokenizers, chains)."""
+"""Golden values of normalizers, stemmer, tokenizers and chains.
+
+Fixed values: inputs and results that any equivalent implementation must reproduce.
+"""
 
 import pytest
 from pyspark.sql import functions as F
