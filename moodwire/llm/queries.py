@@ -65,6 +65,9 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
+_WORDS = r"""SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+              FROM documents"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha
@@ -72,4 +75,36 @@ ORACLE_SQL: dict[str, str] = {
              g AS (SELECT sha, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY sha)
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.sha AS text_sha256
         FROM t JOIN g USING (sha)""",
+    "op2_substring_dedup": rf"""
+        WITH w AS ({_WORDS}),
+             win AS (SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS k
+                     FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+             firsts AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN firsts USING (k) WHERE doc_id > least),
+             each AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS p, unnest(words) AS word FROM w),
+             kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+                      FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+             removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(removed.n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)""",
+    "op3_jaccard_join": rf"""
+        WITH RECURSIVE w AS ({_WORDS}),
+             s AS (SELECT doc_id, array_to_string(words, ' ') AS g FROM w WHERE len(words) BETWEEN 1 AND 4
+                   UNION
+                   SELECT doc_id, array_to_string(words[i : i + 4], ' ')
+                   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+                       FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+             links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                       WHERE 5 * shared >= 4 * (x.n + y.n - shared)),
+             reach(doc_id, node) AS (SELECT doc_id, doc_id FROM w
+                                     UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.node),
+             class AS (SELECT doc_id, min(node) AS class_id FROM reach GROUP BY doc_id),
+             degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a),
+             copies AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN doc_id
+                               ELSE min(doc_id) OVER (PARTITION BY array_to_string(words, ' ')) END AS copy_id FROM w)
+        SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, copy_id
+        FROM class JOIN copies USING (doc_id) LEFT JOIN degree USING (doc_id)""",
 }
