@@ -35,6 +35,14 @@ def _once(spark, sf, what, fn):
     return _memo[k]
 
 
+def forget() -> None:
+    """Drop the remembered models and release the tables they keep cached."""
+    for value in _memo.values():
+        if isinstance(value, DataFrame):
+            value.unpersist()
+    _memo.clear()
+
+
 def split_corpus(spark, sf) -> DataFrame:
     """Tokenized, labelled tweets with a stable train/test split, persisted once."""
     def build():
