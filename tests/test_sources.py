@@ -21,6 +21,23 @@ def test_csv_round_trip_and_naive_mode(spark, small_dir):
     assert naive.filter(F.col("text").startswith('"')).count() > 0
 
 
+def test_csv_naive_split_gives_code_and_cut_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"4","1","d","q","u","fine, thanks"\n"2","2","d","q","u","neither"\n"0","3","d","q","u","bad"\n')
+    got = {(r.text, r.label) for r in files.read_sentiment_csv(spark, str(tmp_path), naive=True).collect()}
+    assert got == {('"fine', 1.0), ('"bad"', 0.0)}
+    exact = {(r.text, r.label) for r in files.read_sentiment_csv(spark, str(tmp_path)).collect()}
+    assert exact == {("fine, thanks", 1.0), ("bad", 0.0)}
+
+
+def test_escaped_lines_round_trip(spark):
+    texts = ["a\nb", "a\\nb", "\\", "\\\\n", "\r\n", "plain", "", "\\r\\\n"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    lines = d.select("text", files.escape_lines(F.col("text")).alias("e")).collect()
+    assert all("\n" not in r.e and "\r" not in r.e for r in lines)
+    back = d.select("text", files.unescape_lines(files.escape_lines(F.col("text"))).alias("b")).collect()
+    assert all(r.text == r.b for r in back)
+
+
 def test_small_to_pandas_refuses_large(spark):
     df = spark.range(10)
     assert len(files.small_to_pandas(df, max_rows=10)) == 10
