@@ -42,11 +42,11 @@ def batch_cv(data: DataFrame, features=rules.BATCH_GRID_FEATURES, regs=rules.BAT
 def cv_summary(cv_model) -> list[tuple]:
     """(num_features, reg_param, max_iter, avg_auc) per grid point, and which one is best."""
     rows = []
-    best = max(cv_model.avgMetrics)
-    for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
+    best = cv_model.avgMetrics.index(max(cv_model.avgMetrics))  # of ties the first, as the refit takes
+    for k, (params, metric) in enumerate(zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)):
         named = {p.name: v for p, v in params.items()}
         rows.append((int(named.get("numFeatures", -1)), float(named.get("regParam", -1.0)),
-                     int(named.get("maxIter", -1)), float(metric), bool(metric == best)))
+                     int(named.get("maxIter", -1)), float(metric), k == best))
     return rows
 
 
@@ -72,6 +72,11 @@ def predict_batch(model, tweets: DataFrame, keep=("tweet_id",)) -> DataFrame:
                       vector_to_array(F.col("probability")).getItem(1).alias("score"))
 
 
+def default_pipeline(data: DataFrame) -> PipelineModel:
+    """Pipeline(HashingTF, LogisticRegression) with default parameters."""
+    return Pipeline(stages=[HashingTF(inputCol="tokens", outputCol="features"), LogisticRegression()]).fit(data)
+
+
 def save_model(model: PipelineModel, folder: str, version: int) -> None:
     """Save a fitted pipeline as ``version`` under ``folder``; the row in the versions table comes
     last, so a reader never finds a half-written model."""

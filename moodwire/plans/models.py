@@ -80,6 +80,13 @@ def q_predict_batch_checks(spark, sf):
     return scored.select("tweet_id", ((F.col("score") > 0.5).cast("double") == F.col("prediction")).alias("consistent"))
 
 
+def q_default_pipeline(spark, sf):
+    """The untuned pipeline: per held-out tweet, whether its class is the probability above one half."""
+    model = _once(spark, sf, "default_pipeline", lambda: train.default_pipeline(_train(spark, sf)))
+    scored = train.predict_batch(model, _test(spark, sf))
+    return scored.select("tweet_id", ((F.col("score") > 0.5).cast("double") == F.col("prediction")).alias("consistent"))
+
+
 def q_batch_latest_model(spark, sf):
     """Two versions of the batch model saved, the latest loaded and used: per held-out tweet its
     version, and whether it predicts what the model in memory does."""
@@ -134,18 +141,20 @@ def q_train_sgd(spark, sf):
     return sgd.weights_frame(spark, sgd_model(spark, sf))
 
 
-def dense_features(df: DataFrame, num_features: int) -> DataFrame:
-    """(idx, val) arrays -> dense ml vectors, for estimators that need VectorUDT."""
-    dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
-                        lambda j: F.coalesce(F.element_at(F.map_from_arrays("idx", "val"), j), F.lit(0.0)))
-    return df.withColumn("features", array_to_vector(dense))
+def sparse_features(spark, sf) -> DataFrame:
+    """Sparse ml vectors of the whole corpus, and the same as (idx, val) arrays: the grid search and
+    the warm start share one index."""
+    def build():
+        made = features.hashing_tf(NOTEBOOK_FEATURES).transform(split_corpus(spark, sf))
+        parts = F.unwrap_udt("features")
+        return made.select("tweet_id", "label", "split", "features", parts["indices"].alias("idx"),
+                           parts["values"].alias("val")).persist()
+    return _once(spark, sf, "sparse_features", build)
 
 
 def cv_grid_model(spark, sf):
-    def fit():
-        data = dense_features(java_features(spark, sf).filter(F.col("split") == "train"), NOTEBOOK_FEATURES)
-        return train.lr_cv_grid(data)
-    return _once(spark, sf, "cv_grid", fit)
+    """Cross-validated over the whole corpus."""
+    return _once(spark, sf, "cv_grid", lambda: train.lr_cv_grid(sparse_features(spark, sf)))
 
 
 def q_train_cv_grid(spark, sf):
@@ -153,31 +162,48 @@ def q_train_cv_grid(spark, sf):
     return spark.createDataFrame(rows, "num_features int, reg_param double, max_iter int, avg_auc double, best boolean")
 
 
+def warm_start_model(spark, sf):
+    def fit():
+        start = [float(x) for x in cv_grid_model(spark, sf).bestModel.coefficients.toArray()]
+        data = sparse_features(spark, sf).filter(F.col("split") == "train")
+        return sgd.train_sgd(data, NOTEBOOK_FEATURES, rules.SGD_ITERATIONS, rules.SGD_STEP, NOTEBOOK_REG,
+                             initial_weights=start)
+    return _once(spark, sf, "warm_start", fit)
+
+
 def q_train_warm_start(spark, sf):
-    start = [float(x) for x in cv_grid_model(spark, sf).bestModel.coefficients.toArray()]
-    data = java_features(spark, sf).filter(F.col("split") == "train")
-    model = sgd.train_sgd(data, NOTEBOOK_FEATURES, rules.SGD_ITERATIONS, rules.SGD_STEP, NOTEBOOK_REG,
-                          initial_weights=start)
-    return sgd.weights_frame(spark, model)
+    return sgd.weights_frame(spark, warm_start_model(spark, sf))
 
 
-def q_sgd_statistics(spark, sf):
-    """Hold-out evaluation of the SGD model: AUC of ROC from hard predictions and from the
-    probability, AUC of PR, accuracy and the majority baseline of the hold-out."""
-    test = java_features(spark, sf).filter(F.col("split") == "test")
-    scored = sgd.with_online_prediction(test, sgd_model(spark, sf).weights)
-    scored = scored.persist()
+def evaluated(spark, test: DataFrame, weights: list[float]) -> DataFrame:
+    """One row: AUC of ROC from hard predictions and from the probability, AUC of PR, accuracy, the
+    majority baseline, precision and recall of the positive class."""
+    scored = sgd.with_online_prediction(test, weights).persist()
+    positive = metrics.precision_recall(scored).filter("class = 1.0").first()
     values = {
         "auc_roc": metrics.auc_roc(scored.withColumnRenamed("prediction", "score")).first()[0],
         "auc_roc_probability": metrics.auc_roc(scored.withColumnRenamed("probability", "score")).first()[0],
         "auc_pr": metrics.auc_pr(scored.withColumnRenamed("prediction", "score")).first()[0],
         "accuracy": metrics.accuracy(scored).first()["accuracy"],
         "baseline": corpus.majority_baseline(scored).first()[0],
+        "precision": positive["precision"] if positive else None,
+        "recall": positive["recall"] if positive else None,
     }
     scored.unpersist()
     return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} double" for k in values))
 
 
+def q_warm_start_statistics(spark, sf):
+    """Hold-out evaluation of the warm-started model."""
+    test = sparse_features(spark, sf).filter(F.col("split") == "test")
+    return evaluated(spark, test, warm_start_model(spark, sf).weights)
+
+
+def q_sgd_statistics(spark, sf):
+    """Hold-out evaluation of the SGD model."""
+    return evaluated(spark, java_features(spark, sf).filter(F.col("split") == "test"), sgd_model(spark, sf).weights)
+
+
 # ----------------------------------------------------------------------------- streams
 
 def replayed(spark, sf, run) -> None:
@@ -387,6 +413,7 @@ QUERIES = {
     "train_batch": q_train_batch,
     "predict_batch": q_predict_batch,
     "predict_batch_checks": q_predict_batch_checks,
+    "default_pipeline": q_default_pipeline,
     "batch_latest_model": q_batch_latest_model,
     "sgd_three_steps": q_sgd_three_steps,
     "sgd_warm_start_steps": q_sgd_warm_start_steps,
@@ -396,6 +423,7 @@ QUERIES = {
     "train_sgd": q_train_sgd,
     "train_cv_grid": q_train_cv_grid,
     "train_warm_start": q_train_warm_start,
+    "warm_start_statistics": q_warm_start_statistics,
     "sgd_statistics": q_sgd_statistics,
     "train_online": q_train_online,
     "model_versions": q_model_versions,

@@ -227,6 +227,7 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
     "statistics_counts": f"{BASE},\n{_stream_ranges()}\nSELECT 'online' AS trainer, version AS model_version, "
                          f"(SELECT count(*) FROM tweets WHERE {_SPLIT} = 'test') AS n FROM versions",
     "predict_batch_checks": f"{BASE}\nSELECT tweet_id, true AS consistent FROM tweets WHERE {_SPLIT} = 'test'",
+    "default_pipeline": f"{BASE}\nSELECT tweet_id, true AS consistent FROM tweets WHERE {_SPLIT} = 'test'",
     "batch_latest_model": f"{BASE}\nSELECT tweet_id, 1::BIGINT AS version, true AS same FROM tweets WHERE {_SPLIT} = 'test'",
     "classify_coverage": f"{BASE},\nhits AS ({_HITS})\nSELECT model, tweet_id, true AS decided FROM hits, "
                          f"(VALUES ('batch'), ('online')) v(model)",
