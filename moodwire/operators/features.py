@@ -16,11 +16,14 @@ aggregation and applied as one literal array.
 
 from __future__ import annotations
 
+from pyspark.ml import Transformer
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
+from moodwire.functions.tokens import DEFAULT_CHAIN, TextChain
+from moodwire.operators import corpus
 
 
 def java_hash(token: Column) -> Column:
@@ -120,6 +123,17 @@ def with_tf_idf(df: DataFrame, idf: list[float], idx_col: str = "idx", val_col:
                                          lambda i, v: v * F.element_at(weights, i + 1)))
 
 
+class TokenTransformer(Transformer):
+    """A text chain as a stage of an ml ``Pipeline``: adds the chain's token array."""
+
+    def __init__(self, chain: TextChain = DEFAULT_CHAIN, input_col: str = "text", output_col: str = "tokens"):
+        super().__init__()
+        self.chain, self.input_col, self.output_col = chain, input_col, output_col
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return corpus.with_tokens(dataset, self.input_col, self.output_col, self.chain)
+
+
 def hashing_tf(num_features: int = rules.ONLINE_FEATURES, input_col: str = "tokens",
                output_col: str = "features") -> HashingTF:
     return HashingTF(numFeatures=num_features, inputCol=input_col, outputCol=output_col)

@@ -165,7 +165,8 @@ class OnlineTrainer:
     def __init__(self, spark: SparkSession, weights_path: str | None = None, checkpoint: str | None = None,
                  num_features: int = rules.ONLINE_FEATURES, iterations: int = rules.SGD_ITERATIONS,
                  step: float = rules.SGD_STEP, reg_param: float = 0.0, idf: list[float] | None = None,
-                 holdout: DataFrame | None = None, evaluate_every: int = 1, statistics_path: str | None = None):
+                 holdout: DataFrame | None = None, evaluate_every: int = 1, statistics_path: str | None = None,
+                 evaluate_seconds: float | None = None, score_idf: list[float] | None = None):
         self.spark = spark
         self.weights_path = weights_path or work_path(spark, "weights")
         self.checkpoint = checkpoint or work_path(spark, "weights-ckpt")
@@ -174,6 +175,10 @@ class OnlineTrainer:
         self.holdout = holdout
         self._holdout_features: DataFrame | None = None
         self.evaluate_every = max(1, evaluate_every)
+        self.evaluate_seconds = evaluate_seconds  # if given, evaluations go by the clock instead
+        self._evaluated_at = float("-inf")
+        # features to score on; the original trained on term frequencies and scored on TF-IDF
+        self.score_idf = score_idf if score_idf is not None else idf
         self.statistics_path = statistics_path or work_path(spark, "statistics")
         self.num_features = num_features
         self.iterations = iterations
@@ -187,21 +192,31 @@ class OnlineTrainer:
                                          .orderBy(F.col("version").desc()).limit(1).collect())
         return list(rows[0]["weights"]) if rows else [0.0] * self.num_features
 
-    def features(self, batch: DataFrame) -> DataFrame:
+    def features(self, batch: DataFrame, idf: list[float] | None) -> DataFrame:
         tf = features.with_java_tf(corpus.with_tokens(batch), num_features=self.num_features)
-        return features.with_tf_idf(tf, self.idf) if self.idf is not None else tf
+        return features.with_tf_idf(tf, idf) if idf is not None else tf
+
+    def _evaluation_due(self, batch_id: int) -> bool:
+        import time
+
+        if self.evaluate_seconds is None:
+            return batch_id % self.evaluate_every == 0
+        if time.monotonic() - self._evaluated_at < self.evaluate_seconds:
+            return False
+        self._evaluated_at = time.monotonic()
+        return True
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Train on one micro-batch from version ``batch_id - 1`` and write version ``batch_id``."""
         start = self.weights_before(batch_id)
-        data = self.features(batch).select("label", "idx", "val")
+        data = self.features(batch, self.idf).select("label", "idx", "val")
         model = sgd.train_sgd(data, self.num_features, self.iterations, self.step, self.reg_param, start)
         if model.rows == 0:
             return  # empty batch: no new version
         row = sgd.weights_frame(self.spark, model, batch_id).withColumn("rows", F.lit(model.rows).cast("long"))
         (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("version").parquet(self.weights_path))
-        if self.holdout is not None and batch_id % self.evaluate_every == 0:
+        if self.holdout is not None and self._evaluation_due(batch_id):
             self.evaluate(model.weights, batch_id)
 
     def evaluate(self, weights: list[float], version: int) -> None:
@@ -210,7 +225,7 @@ class OnlineTrainer:
         from moodwire.operators import metrics
 
         if self._holdout_features is None:  # tokenized once, kept for the later versions
-            self._holdout_features = self.features(self.holdout).select("label", "idx", "val").persist()
+            self._holdout_features = self.features(self.holdout, self.score_idf).select("label", "idx", "val").persist()
         scored = sgd.with_online_prediction(self._holdout_features, weights).withColumnRenamed(
             "probability", "score")
         stats = metrics.statistics_row(scored, "online", f"sgd(version={version})", version)

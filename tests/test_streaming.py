@@ -82,3 +82,28 @@ def test_collector_with_processing_time_trigger_stops_when_full(spark, small_dir
     assert collector.state.full
     counts = {r["label"]: r["count"] for r in got.groupBy("label").count().collect()}
     assert counts == {0.0: 10, 1.0: 10}
+
+
+def test_evaluation_by_the_clock_and_mixed_features(spark, small_dir):
+    table = tables.tweets(spark, small_dir)
+    labelled = online.labelled_stream(table)
+    trainer = online.OnlineTrainer(spark, num_features=50, iterations=2, holdout=labelled, evaluate_seconds=3600,
+                                   score_idf=[float(i) for i in range(50)])
+    trainer.process(labelled, 0)
+    trainer.process(labelled, 1)
+    assert [r.model_version for r in trainer.statistics().collect()] == [0]  # the second is not due yet
+    plain = trainer.features(labelled, None).orderBy("tweet_id").first()
+    mixed = trainer.features(labelled, trainer.score_idf).orderBy("tweet_id").first()
+    assert np.allclose(mixed.val, [v * i for i, v in zip(plain.idx, plain.val)])
+
+
+def test_token_transformer_in_a_pipeline(spark, small_dir):
+    from pyspark.ml import Pipeline
+
+    from moodwire.operators import corpus, features
+
+    table = catalog.labelled(spark, small_dir)
+    model = Pipeline(stages=[features.TokenTransformer(), features.hashing_tf(20)]).fit(table)
+    got = model.transform(table).select("tweet_id", "tokens")
+    want = corpus.with_tokens(table).select("tweet_id", "tokens")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
