@@ -13,9 +13,10 @@ every word it covers goes. Windows are judged on the input.
 
 Where the data goes: seeds move twice (counted with partial aggregation, then joined back to their
 places), texts once, to meet their seeds; windows around seeds once. A window that may be frequent
-(its seed has more than ``FREQUENT`` places) takes another way with the same result: least ids by
-partial aggregation, joined back in joins that adaptive execution splits, so a passage that a third
-of all texts share never meets in one task. Tasks hold one Arrow batch, texts in blocks of some MB.
+(its seed has n > ``FREQUENT`` places) is dealt over sqrt(n) salts by id: a row above the least id of
+its salt is a repeat already, and only the least rows, one per salt, meet under the key again. So a
+passage that a third of all texts share never meets in one task, and no window is joined to anything.
+Tasks hold one Arrow batch, texts in blocks of some MB.
 
 Null texts have no words. Null ids order last and are never smaller than one another; repeated rows
 are judged alike; texts shorter than a window keep all words; an empty table gives no rows; further
@@ -120,11 +121,13 @@ def seeds(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "g long, o long, c long, p int")
 
 
-def windows(candidates: DataFrame, window: int) -> DataFrame:
-    """(k1, k2, o, c, s, often): the full windows around the seeds of (o, text, c, ps, often): names of
-    both halves, place and whether the seed is frequent."""
+def windows(candidates: DataFrame, window: int, frequent: int) -> DataFrame:
+    """(k1, k2, salt, salts, o, c, s): the full windows around the seeds of (o, text, c, ps), with ps
+    the seeds' places and how often each seed occurs: names of both halves, the salt of the id among
+    the window's salts, and the place."""
     half = (window + 1) // 2  # two halves of an odd window share its middle word
     shift = window - half
+    names_out = ["k1", "k2", "salt", "salts", "o", "c", "s"]
 
     def run(batches):
         import numpy as np
@@ -132,27 +135,30 @@ def windows(candidates: DataFrame, window: int) -> DataFrame:
 
         for batch in batches:
             order, texts, own_class = batch.column(0).to_numpy(), _read(batch), batch.column(2).to_numpy()
+            spread = wordgrams.mixed(order.astype(np.uint64))
             for block in wordgrams.in_blocks(texts):
                 hashes, bounds, *_ = wordgrams.word_hashes([t for _, t in block])
                 names = wordgrams.doubled(hashes, half)
-                out = [[] for _ in range(6)]
+                out = [[] for _ in names_out]
                 for (k, text), a, b in zip(block, bounds[:-1], bounds[1:]):
                     if b - a < window or _class(_split(text))[1] != own_class[k]:
                         continue  # another text under the same id
                     own = names[a : b - half + 1]
                     seed = _seeds_of(own, window)
-                    marked = np.zeros(len(own), np.int8)
-                    marked[batch.column(3)[k].values.to_numpy()] = 1
-                    marked[batch.column(4)[k].values.to_numpy()] = 2
-                    s = np.flatnonzero(marked[seed])
-                    for c, v in zip(out, (own[s].view(np.int64), own[s + shift].view(np.int64), np.full(len(s), order[k]),
-                                          np.full(len(s), own_class[k]), s.astype(np.int32), marked[seed[s]] == 2)):
+                    places = batch.column(3)[k].values
+                    times = np.zeros(len(own), np.int64)
+                    times[places.field(0).to_numpy()] = places.field(1).to_numpy()
+                    n = times[seed]
+                    s = np.flatnonzero(n)
+                    salts = np.where(n[s] > frequent, np.ceil(np.sqrt(n[s])), 1).astype(np.int32)
+                    for c, v in zip(out, (own[s].view(np.int64), own[s + shift].view(np.int64),
+                                          (spread[k] % salts.astype(np.uint64)).astype(np.int32), salts,
+                                          np.full(len(s), order[k]), np.full(len(s), own_class[k]), s.astype(np.int32))):
                         c.append(v)
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
-                                                     names=["k1", "k2", "o", "c", "s", "often"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names_out)
 
-    return candidates.mapInArrow(run, "k1 long, k2 long, o long, c long, s int, often boolean")
+    return candidates.mapInArrow(run, "k1 long, k2 long, salt int, salts int, o long, c long, s int")
 
 
 def kept_words(marked: DataFrame, window: int, whole: bool) -> DataFrame:
@@ -198,20 +204,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
 
     places = seeds(rows, window)
     shared = written(places.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("n"))
-                     .where("low < high").select("g", (F.col("n") > frequent).alias("often")), "seeds")
-    found = places.join(shared, "g").groupBy("o", "c").agg(
-        F.collect_set(F.when(~F.col("often"), F.col("p"))).alias("ps"),
-        F.collect_set(F.when(F.col("often"), F.col("p"))).alias("often"))
+                     .where("low < high").select("g", "n"), "seeds")
+    found = places.join(shared, "g").groupBy("o", "c").agg(F.collect_set(F.struct("p", "n")).alias("ps"))
     heads = ranked.where(~F.col("copy")).select("o", "c").distinct()
-    candidates = written(rows.join(found.join(heads, ["o", "c"]), "o").select("o", "text", "c", "ps", "often"), "candidates")
+    candidates = written(rows.join(found.join(heads, ["o", "c"]), "o").select("o", "text", "c", "ps"), "candidates")
 
-    full = windows(candidates, window)
     key = ["k1", "k2"]
-    rare = full.where(~F.col("often")).withColumn("least", F.min("o").over(Window.partitionBy(*key)))
-    common = full.where("often")
-    common = common.join(written(common.groupBy(*key).agg(F.min("o").alias("least")), "least"), key)
-    gone = (rare.select("o", "c", "s", "least").unionByName(common.select("o", "c", "s", "least"))
-            .where("o > least").groupBy("o", "c").agg(F.collect_set("s").alias("starts")))
+    full = windows(candidates, window, frequent).withColumn("least", F.min("o").over(Window.partitionBy(*key, "salt")))
+    sure = full.where("o > least")
+    open_ = (full.where("o = least and salts > 1")  # one id per salt
+             .withColumn("least", F.min("o").over(Window.partitionBy(*key))).where("o > least"))
+    gone = sure.unionByName(open_).groupBy("o", "c").agg(F.collect_set("s").alias("starts"))
     cut = kept_words(candidates.select("o", "text", "c").join(gone, ["o", "c"]).select("o", "text", "c", "starts"), window, whole)
     cut = cut.dropDuplicates(["o", "c"])  # rows that repeat id and text
 
