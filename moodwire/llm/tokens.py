@@ -12,7 +12,7 @@ import re
 import sys
 import types
 
-MEMORY = 1_000_000  # segments remembered per Python worker
+MEMORY = 400_000  # segments remembered per Python worker, in two generations
 LONGEST = 64  # characters; longer segments are not remembered
 
 _RUN = re.compile(r"\s\s|^\s|\s\Z")
@@ -53,8 +53,8 @@ class SegmentEncoder:
     def __init__(self, path: str, leading_space: bool):
         self.tokenizer, self.prefix = library(path), " " if leading_space else ""
         self.pattern = re.compile(ASCII_PRETOKENS[self.prefix])
-        self.seen: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.seen: dict[str, bytes] = {}  # the young generation
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -77,29 +77,24 @@ class SegmentEncoder:
             return head + [new[p] if p in new else seen[p] for p in pieces]
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Segments that are not remembered: plain ones by the library's model per pre-token, the
-        others by the whole library."""
+        """Segments that the young generation lacks: from the old one; plain ones by the library's
+        model per pre-token; the others by the whole library."""
         import numpy as np
 
+        new = {p: self.old[p] for p in pieces if p in self.old}
+        pieces = pieces.difference(new)
         rest = [p for p in pieces if not _PLAIN.fullmatch(p) or "<|" in p]
         found = self.tokenizer.encode_batch_fast([self.prefix + p for p in rest], add_special_tokens=False)
-        new = {p: np.asarray(e.ids, "<u4").tobytes() for p, e in zip(rest, found)}
+        new.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
+        tokenize = self.tokenizer.model.tokenize
         for p in pieces.difference(rest):
             words = self.pattern.findall(" " + p if self.prefix else p.lower())
-            new[p] = b"".join([self.words.get(w) or self._word(w) for w in words])
-        if len(self.seen) + len(new) > MEMORY:
-            self.seen = {}
+            new[p] = b"".join([t.id.to_bytes(4, "little") for w in words for t in tokenize(w.replace(" ", "\u0120"))])
+        if len(self.seen) + len(new) > MEMORY // 2:
+            self.old, self.seen = self.seen, {}
         self.seen.update((p, v) for p, v in new.items() if len(p) <= LONGEST)
         return new
 
-    def _word(self, word: str) -> bytes:
-        out = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word.replace(" ", "\u0120"))])
-        if len(self.words) >= MEMORY // 2:
-            self.words = {}
-        if len(word) <= LONGEST:
-            self.words[word] = out
-        return out
-
     def ids(self, text: str) -> bytes:
         return b"".join(self.segments(text))
 
