@@ -22,11 +22,12 @@ from pyspark.sql import types as T
 
 from moodwire.llm import tokens
 
-PAIRS = 2_000_000  # compatibility answers remembered per Python worker
-SEGMENTS = 600_000
+PAIRS = 1_000_000  # compatibility answers remembered per Python worker
+SEGMENTS = 400_000
 LONGEST = 64
 NEVER = 1 << 60
 _RUN = re.compile(r"\s\s|^\s|\s\Z")
+_PLAIN = re.compile(r"[!-~]+")
 
 
 class PrefixBpe:
@@ -51,8 +52,10 @@ class PrefixBpe:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.text.update((i, c.encode()) for c, i in self.special.items())
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by both ids, 20 bits each
         self.seen: dict[str, tuple] = {}
+        self.plain = re.compile(tokens.ASCII_PRETOKENS[" "])
+        self.words: dict[str, list[int]] = {}
         self.found = ahocorasick.Automaton()
         for w, t in vocab.items():
             if t in made or len(w) == 1:  # entries that no merge makes are never a result
@@ -80,33 +83,34 @@ class PrefixBpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a and b stay two tokens when their bytes stand side by side."""
-        known = self.fits.get((a, b))
-        if known is None:
-            known = True
-            for u, u_hidden in self.right[a]:
-                for v, v_hidden in self.left[b]:
-                    r = self.rank.get((u, v))
-                    # equal ranks merge from the left: a's own merge first, b's own merge last
-                    if r is not None and r < u_hidden and r <= v_hidden:
-                        known = False
-                        break
-                if not known:
-                    break
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            self.fits[a, b] = known
-        return known
+        for u, u_hidden in self.right[a]:
+            for v, v_hidden in self.left[b]:
+                r = self.rank.get((u, v))
+                # equal ranks merge from the left: a's own merge first, b's own merge last
+                if r is not None and r < u_hidden and r <= v_hidden:
+                    return False
+        return True
 
     def pretoken(self, word: str) -> list[int]:
         """ids of one pre-token, given in the byte alphabet."""
-        n = len(word)
-        last, size, fits = [-1] * (n + 1), [0] * (n + 1), self.compatible
+        n, fits = len(word), self.fits
+        last, size = [-1] * (n + 1), [0] * (n + 1)
         for end, (t, length) in self.found.iter(word):
             i = end + 1
             if last[i] < 0:
-                j = i - length
-                if j == 0 or last[j] >= 0 and fits(last[j], t):
-                    last[i], size[i] = t, length
+                before = last[i - length]
+                if i != length:
+                    if before < 0:
+                        continue
+                    pair = before << 20 | t
+                    good = fits.get(pair)
+                    if good is None:
+                        if len(fits) >= PAIRS:
+                            fits.clear()
+                        good = fits[pair] = self.compatible(before, t)
+                    if not good:
+                        continue
+                last[i], size[i] = t, length
         out = []
         while n:
             out.append(last[n])
@@ -125,12 +129,27 @@ class PrefixBpe:
                     out += self.pretoken(word)
         return out
 
+    def plain_segment(self, text: str) -> list[int]:
+        """``encode`` of printable ASCII after one space: pre-tokens without Unicode classes, remembered."""
+        out = []
+        for w in self.plain.findall(text):
+            ids = self.words.get(w)
+            if ids is None:
+                ids = self.pretoken(w.replace(" ", "\u0120"))
+                if len(self.words) >= SEGMENTS // 2:
+                    self.words = {}
+                if len(w) <= LONGEST:
+                    self.words[w] = ids
+            out += ids
+        return out
+
     def decode(self, ids) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
 
     def segment(self, piece: str, prefix: str) -> tuple[int, str, bytes]:
         """(number of ids, decimal ids joined by commas, decoded bytes) of one segment."""
-        ids = self.encode(prefix + piece)
+        plain = prefix and _PLAIN.fullmatch(piece) and "<|" not in piece
+        ids = self.plain_segment(prefix + piece) if plain else self.encode(prefix + piece)
         value = (len(ids), ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids)))
         if prefix and len(piece) <= LONGEST:
             if len(self.seen) >= SEGMENTS:
