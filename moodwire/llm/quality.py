@@ -4,7 +4,8 @@ Base counts are row-local. The verdict on the rest is a minimum-covariance-deter
 (language, source): the mean and covariance of the ``COVER`` share of a group's texts with the smallest
 determinant, reached by concentration steps (estimate from the subset, distances of all rows, the
 nearest rows are the next subset) from coordinate-wise medians, until no group's determinant falls.
-A text is rejected when its Mahalanobis distance to its group's estimate is beyond ``CUTOFF``.
+A text is rejected when its Mahalanobis distance to its group's estimate is beyond ``CUTOFF``, the
+chi-squared quantile that a clean text of normal statistics passes with probability ``TAIL``.
 
 Where the data goes: texts are read once, per-row statistics (four integers) are written, and each
 step is one pre-aggregated group-by over them and one join with the estimates, a table with a row per
@@ -19,6 +20,8 @@ rows keep the base verdict. Repeated rows are counted and returned each; an empt
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +33,18 @@ MOST_REPEATED = 50  # percent
 COVER = 0.75
 LEAST = 100  # rows of a group for an estimate of its own
 UNIT = 1_000  # a transformed statistic of 1.0 as an integer
-CUTOFF = 60.0  # squared distance
+TAIL = 1e-9  # clean texts rejected, if statistics are normal: about one in a corpus of a billion
+
+
+def chi_squared_quantile(tail: float) -> float:
+    """x with P(X > x) = tail for four degrees of freedom, where P(X > x) = exp(-x / 2) (1 + x / 2)."""
+    x = 0.0
+    for _ in range(100):
+        x = 2 * (math.log1p(x / 2) - math.log(tail))
+    return x
+
+
+CUTOFF = chi_squared_quantile(TAIL)  # squared distance, about 47.9
 STEPS = 20  # concentration steps at most; they end earlier when no determinant falls
 DIMS = ("x1", "x2", "x3", "x4")
 
@@ -94,8 +108,9 @@ def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 # --------------------------------------------------------------------------- robust outliers
 
-# Least standard deviations, by statistic: differences below them mean nothing.
-FLOORS = {"x1": 0.1, "x2": 0.1, "x3": 0.25, "x4": 0.1}
+# Least standard deviations, by statistic: differences below them mean nothing. x4 ends at 0.5 in rows that
+# pass the base rules, so its floor leaves room for ten of them.
+FLOORS = {"x1": 0.1, "x2": 0.1, "x3": 0.25, "x4": 0.05}
 CONSISTENT = 1.485  # covariance of the central 75 % of a four-dimensional normal, to the whole
 BINS = 16  # distance bins per e-fold
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from moodwire.llm import language_id, quality, secret_scan, sharding
@@ -205,3 +206,19 @@ def test_junk_goes_clean_stays_whatever_the_group(spark, rnd):
     assert kept.columns == ["doc_id", "text", "lang", "source", "gl", "distance"]
     assert kept.count() == sum(r.kept for r in got)
     assert quality.quality_rules(d.limit(0)).collect() == []
+
+
+def repeating(rnd, n, n_words, run):
+    """A text of different words in which one passage of ``run`` words stands twice."""
+    words = [f"{rnd.choice('abcdefghij')}{i:04d}" for i in range(n_words - run)]
+    return (n, " ".join(words + words[:run]), "en", "s1")
+
+
+def test_repeated_words_alone_reject(spark, rnd):
+    """48 % repeated words, within the base rule, in a source where other texts have none."""
+    d = spark.createDataFrame([repeating(rnd, i, 100, 0) for i in range(200)] + [repeating(rnd, 200, 100, 24), repeating(rnd, 201, 100, 5)],
+                              "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_rules(d).collect()}
+    assert not got[200].base_failed and got[200].n_repeat_words == 48 and not got[200].kept
+    assert all(got[i].kept for i in range(202) if i != 200)
+    assert abs(np.exp(-quality.CUTOFF / 2) * (1 + quality.CUTOFF / 2) / quality.TAIL - 1) < 1e-9
