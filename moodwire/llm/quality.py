@@ -14,8 +14,10 @@ counts per (group, bin), never from the rows of a group, so a source with a thir
 long task. Statistics are integers, so the sums do not depend on how rows are dealt out.
 
 Null texts have no words (base_failed); null language or source is a group of its own; groups with
-fewer than ``LEAST`` rows take their language's estimate, and languages with fewer take none: their
-rows keep the base verdict. Repeated rows are counted and returned each; an empty table gives no rows.
+fewer than ``LEAST`` rows take their language's estimate, and languages with fewer the estimate over
+all languages. Only a table with fewer than ``LEAST`` rows that pass the base rules has no estimate at
+all: its rows keep the base verdict. Repeated rows are counted and returned each; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -168,10 +170,12 @@ def _distance(prefix: str = "") -> Column:
 
 def robust_estimates(stats: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     """Per (gl, gs): mean m_i and inverse root r_ij of the minimum-determinant subset; gs is empty for
-    a whole language. Only rows that pass the base rules are estimated from."""
+    a whole language, both are for all languages. Only rows that pass the base rules are estimated from."""
     d = range(len(DIMS))
     rows = stats.where(~F.col("base_failed")).select(_key(lang_col).alias("gl"), _key(source_col).alias("own"), *DIMS)
-    rows = written(rows.select("gl", F.explode(F.array("own", F.lit(""))).alias("gs"), *DIMS), "mcd-rows")
+    levels = [F.struct(F.col(a).alias("gl") if a else F.lit("").alias("gl"), F.col(b).alias("gs") if b else F.lit("").alias("gs"))
+              for a, b in (("gl", "own"), ("gl", ""), ("", ""))]
+    rows = written(rows.select(F.explode(F.array_distinct(F.array(*levels))).alias("g"), *DIMS).select("g.*", *DIMS), "mcd-rows")
     sizes = rows.groupBy("gl", "gs").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
 
     values = rows.select("gl", "gs", F.explode(F.array(*[F.struct(F.lit(k).alias("dim"), F.col(x).alias("x"))
@@ -216,11 +220,13 @@ def with_verdict(stats: DataFrame, estimates: DataFrame, lang_col: str, source_c
     gl, gs = fresh("gl"), fresh("gs")
     cols = [c for c in estimates.columns if c not in ("gl", "gs")]
     out, found = stats.withColumns({gl: _key(lang_col), gs: _key(source_col)}), []
-    for k, where in enumerate((F.col(gs), F.lit(""))):
-        name = fresh(f"e{k}")
-        e = estimates.where(F.col("gs") != "" if k == 0 else F.col("gs") == "").select(
+    # by group, by language, and the one row for all: a join on the level's own keys
+    for on, level in (((gl, gs), "gs != ''"), ((gl,), "gl != '' and gs = ''"), ((), "gl = '' and gs = ''")):
+        name = fresh("e")
+        e = estimates.where(level).select(
             F.col("gl").alias(f"{name}_gl"), F.col("gs").alias(f"{name}_gs"), *[F.col(c).alias(f"{name}{c}") for c in cols])
-        out = out.join(e, (F.col(gl) == F.col(f"{name}_gl")) & (where == F.col(f"{name}_gs")), "left")
+        same = [F.col(c) == F.col(name + end) for c, end in zip(on, ("_gl", "_gs"))]
+        out = out.join(F.broadcast(e) if not on else e, same or F.lit(True), "left")
         found.append(_distance(name))
     out = out.withColumn("distance", F.coalesce(*found))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))

@@ -78,3 +78,22 @@ def test_stages_keep_columns_and_clean_documents(spark):
         assert empty.dtypes == docs.dtypes and empty.count() == 0
     assert corpus_pipeline.packing_stage(spark, docs.limit(0), SMALL).count() == 0
     assert corpus_pipeline.secret_stage(spark, docs, SMALL).count() == docs.count()
+
+
+def test_quality_stage_judges_rare_languages(spark):
+    """The languages of the small table with too few rows are held to the estimate over all languages."""
+    rows = pq.read_table(f"{SMALL}/documents.parquet").to_pylist()
+    langs, vectors = [], {}
+    for r in rows:
+        n, chars, symbols, lines, repeats = counts_by_hand(r["text"])
+        if n >= 50 and 100 * repeats <= 50 * n:
+            langs.append(r["lang"])
+            vectors[r["doc_id"]] = [round(v * quality.UNIT) for v in (
+                np.log(chars / n), np.log1p(100 * symbols / chars), np.log1p(100 * lines / n), repeats / n)]
+    sizes, ids = Counter(langs), list(vectors)
+    over_all = dict(zip(ids, mcd_distances([vectors[i] for i in ids])))
+    want = {i for i, g in zip(ids, langs) if sizes[g] < quality.LEAST and over_all[i] <= quality.CUTOFF}
+    rare = [g for g, n in sizes.items() if n < quality.LEAST]
+    got = corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL)
+    assert {r.doc_id for r in got.select("doc_id", "lang").collect() if r.lang in rare} == want
+    assert 0 < len(want) < sum(sizes[g] for g in rare)

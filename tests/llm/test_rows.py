@@ -222,3 +222,18 @@ def test_repeated_words_alone_reject(spark, rnd):
     assert not got[200].base_failed and got[200].n_repeat_words == 48 and not got[200].kept
     assert all(got[i].kept for i in range(202) if i != 200)
     assert abs(np.exp(-quality.CUTOFF / 2) * (1 + quality.CUTOFF / 2) / quality.TAIL - 1) < 1e-9
+
+
+def test_rare_languages_are_judged(spark, rnd):
+    """Languages with fewer than LEAST rows, null among them, take the estimate over all languages."""
+    rows = [(i, t, "en", s) for i, t, _, s in fake(rnd, 200)]
+    rows += [(200 + i, t, rnd.choice(["xx", "En", None]), s) for i, t, _, s in fake(rnd, 60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_rules(d).collect()}
+    assert len(got) == 260 and not any(r.base_failed for r in got.values())
+    assert all(r.distance is not None and r.kept == (i % 10 != 0) for i, r in got.items())
+    stats = quality.with_statistics(quality.base_counts(d)).orderBy("doc_id").collect()
+    want = mcd_distances([[r[c] for c in quality.DIMS] for r in stats])
+    assert all(abs(got[i].distance - want[i]) <= 1e-6 * (1 + want[i]) for i in range(200, 260))
+    few = quality.quality_rules(d.where("doc_id >= 200")).collect()
+    assert len(few) == 60 and all(r.kept and r.distance is None for r in few)
