@@ -3,7 +3,9 @@
 Base counts are row-local. The verdict on the rest is a minimum-covariance-determinant estimate per
 (language, source): the mean and covariance of the ``COVER`` share of a group's texts with the smallest
 determinant, reached by concentration steps (estimate from the subset, distances of all rows, the
-nearest rows are the next subset) from coordinate-wise medians, until no group's determinant falls.
+nearest rows are the next subset) from coordinate-wise medians. A group whose determinant no longer
+falls is settled and leaves the steps; they go on until every group is. That ends, because each step
+lowers the determinant of all groups still in it by a least factor, and the floors bound it below.
 A text is rejected when its Mahalanobis distance to its group's estimate is beyond ``CUTOFF``, the
 chi-squared quantile that a clean text of normal statistics passes with probability ``TAIL``.
 
@@ -22,6 +24,8 @@ no rows.
 
 from __future__ import annotations
 
+import functools
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,7 +51,7 @@ def chi_squared_quantile(tail: float) -> float:
 
 
 CUTOFF = chi_squared_quantile(TAIL)  # squared distance, about 47.9
-STEPS = 20  # concentration steps at most; they end earlier when no determinant falls
+STEPS = 20  # concentration steps after which, and after each such number more, groups not settled are logged
 DIMS = ("x1", "x2", "x3", "x4")
 
 
@@ -191,7 +195,9 @@ def robust_estimates(stats: DataFrame, lang_col: str, source_col: str) -> DataFr
     diagonal = {f"v{i}{j}": F.pow(f"s{i}", F.lit(2)) + FLOORS[DIMS[i]] ** 2 if i == j else F.lit(0.0) for i in d for j in range(i + 1)}
     estimate = written(_inverse_root(start.join(sizes, ["gl", "gs"]).withColumns(diagonal)), "mcd-0")
 
-    for step in range(1, STEPS + 1):
+    settled, step = [], 0
+    while True:
+        step += 1
         near = rows.join(estimate, ["gl", "gs"]).withColumn("bin", F.floor(BINS * F.log1p(_distance())).cast("int"))
         sums = {"c": F.count(F.lit(1))} | {f"a{i}": F.sum(F.col(DIMS[i])) for i in d} | {
             f"b{i}{j}": F.sum((F.col(DIMS[i]) * F.col(DIMS[j])).cast("double")) for i in d for j in range(i + 1)}
@@ -207,12 +213,17 @@ def robust_estimates(stats: DataFrame, lang_col: str, source_col: str) -> DataFr
             for i in d for j in range(i + 1)})
         before = estimate.select("gl", "gs", F.col("logdet").alias("last"))
         nxt = written(_inverse_root(moments).join(before, ["gl", "gs"]), f"mcd-{step}")
-        # the start is no subset's estimate, so the first step is never the last
-        moved = step == 1 or nxt.where(F.col("logdet") < F.col("last") - 1e-3).limit(1).count()
-        estimate = nxt.drop("last")
-        if not moved:
+        # the start is no subset's estimate, so the first step settles none
+        falls = F.lit(step == 1) | (F.col("logdet") < F.col("last") - 1e-3)
+        estimate = nxt.where(falls).drop("last")
+        moving = estimate.count() if step % STEPS == 0 else estimate.limit(1).count()
+        if step > 1:
+            settled.append(nxt.where(~falls).drop("last"))
+        if not moving:
             break
-    return estimate
+        if step % STEPS == 0:
+            logging.getLogger(__name__).warning("%d groups not settled after %d steps", moving, step)
+    return written(functools.reduce(DataFrame.unionByName, settled, estimate), "mcd")
 
 
 def with_verdict(stats: DataFrame, estimates: DataFrame, lang_col: str, source_col: str) -> DataFrame:

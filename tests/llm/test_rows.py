@@ -237,3 +237,18 @@ def test_rare_languages_are_judged(spark, rnd):
     assert all(abs(got[i].distance - want[i]) <= 1e-6 * (1 + want[i]) for i in range(200, 260))
     few = quality.quality_rules(d.where("doc_id >= 200")).collect()
     assert len(few) == 60 and all(r.kept and r.distance is None for r in few)
+
+
+def test_steps_go_on_until_every_group_settles(spark, rnd, monkeypatch):
+    """However small STEPS, each group ends at its own settled estimate, by steps of its rows alone."""
+    rows = [(i, t, g, "s1") for k, g in enumerate(("en", "de")) for i, t, _, _ in
+            ((1000 * k + i, t + " #" * (i % 7 * k), g, s) for i, t, g, s in fake(rnd, 150))]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    stats = quality.with_statistics(quality.base_counts(d)).orderBy("doc_id").collect()
+    groups = [[r for r in stats if r.lang == g] for g in ("en", "de")]
+    by_hand = lambda: {r.doc_id: w for g in groups for r, w in zip(g, mcd_distances([[r[c] for c in quality.DIMS] for r in g]))}
+    want = by_hand()
+    monkeypatch.setattr(quality, "STEPS", 1)
+    cut_off = by_hand()
+    assert max(abs(cut_off[i] - want[i]) for i in want) > 1e-3
+    assert all(abs(r.distance - want[r.doc_id]) <= 1e-6 * (1 + want[r.doc_id]) for r in quality.quality_rules(d).collect())
