@@ -18,6 +18,9 @@ its salt is a repeat already, and only the least rows, one per salt, meet under
 passage that a third of all texts share never meets in one task, and no window is joined to anything.
 Tasks hold one Arrow batch, texts in blocks of some MB.
 
+Rows are known by id and class of their words wherever they are joined, so rows that share an id, or
+have none, meet only rows of the same words.
+
 Null texts have no words. Null ids order last and are never smaller than one another; repeated rows
 are judged alike; texts shorter than a window keep all words; an empty table gives no rows; further
 columns of the input are not read.
@@ -52,6 +55,19 @@ def _class(words: list[bytes]) -> tuple[bytes, int]:
     return digest, int.from_bytes(digest[:8], "little", signed=True)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(o, text, c) per row of (o, text): c is the class of the words."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            c = pa.array([_class(_split(text))[1] for text in _read(batch)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), c], names=["o", "text", "c"])
+
+    return docs.mapInArrow(run, "o long, text string, c long")
+
+
 def _split(text: bytes) -> list[bytes]:
     return text.split()  # bytes are split at 0x20 and 0x09 to 0x0D
 
@@ -207,7 +223,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                      .where("low < high").select("g", "n"), "seeds")
     found = places.join(shared, "g").groupBy("o", "c").agg(F.collect_set(F.struct("p", "n")).alias("ps"))
     heads = ranked.where(~F.col("copy")).select("o", "c").distinct()
-    candidates = written(rows.join(found.join(heads, ["o", "c"]), "o").select("o", "text", "c", "ps"), "candidates")
+    candidates = written(keyed(rows).join(found.join(heads, ["o", "c"]), ["o", "c"]).select("o", "text", "c", "ps"), "candidates")
 
     key = ["k1", "k2"]
     full = windows(candidates, window, frequent).withColumn("least", F.min("o").over(Window.partitionBy(*key, "salt")))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from moodwire.llm import exact_dedup, jaccard_join, substring_dedup
+from moodwire.llm.common import written
 
 WORD = "[^\x20\x09-\x0D]+"
 NONE = 2**63 - 1
@@ -113,6 +114,24 @@ def test_substring_texts_and_empty_table(frame):
     assert substring_dedup.substring_digest(frame(rows).limit(0)).collect() == []
 
 
+def test_substring_rows_without_id_meet_only_their_own_words(frame, monkeypatch):
+    """200 texts without id share a passage: 200 candidates are written, not 200 x 200."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, f"{passage} x{i} y{i}") for i in range(200)] + [(1, passage)]
+    sizes = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup, "written", counted)
+    got = substring_dedup.substring_digest(frame(rows), window=10).collect()
+    want = substring_by_hand(rows, 10)
+    assert sorted((tuple(r) for r in got), key=str) == want and sum(r[2] for r in want) == 200 * 30
+    assert sizes["candidates"] == 201
+
+
 # ----------------------------------------------------------------------------- Jaccard join
 
 def join_by_hand(rows):
