@@ -63,8 +63,12 @@ def with_java_tf(df: DataFrame, tokens_col: str = "tokens", num_features: int =
 
 def doc_frequency(df: DataFrame, idx_col: str = "idx") -> DataFrame:
     """Number of rows that contain each bucket: (idx, df). Partial aggregation
-    first, so at most ``num_features`` rows per map partition are shuffled."""
-    return (df.select(F.explode(F.col(idx_col)).alias("idx"))
+    first, so at most ``num_features`` rows per map partition are shuffled.
+
+    The outer explode is deliberate: from a plain one Catalyst infers ``size(idx) > 0`` and pushes
+    that filter below the projections, which writes the whole text chain out inside it, again and again.
+    """
+    return (df.select(F.explode_outer(F.col(idx_col)).alias("idx")).where(F.col("idx").isNotNull())
             .groupBy("idx").agg(F.count(F.lit(1)).alias("df")))
 
 

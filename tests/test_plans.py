@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from moodwire.plans import catalog
 
 
 def plan(spark, small_dir, key):
@@ -45,6 +46,14 @@ def test_text_work_is_row_local(spark, small_dir, key):
     assert all("RoundRobinPartitioning" in line for line in exchanges), exchanges
 
 
+@pytest.mark.parametrize("key", sorted(catalog.QUERIES))
+def test_filters_do_not_repeat_the_text_chain(spark, small_dir, key):
+    """No filter of an optimized plan holds the text chain written out again and again."""
+    optimized = entry_module.queries()[key](spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+    longest = max((len(line) for line in optimized.splitlines() if re.match(r"[\s:+-]*Filter ", line)), default=0)
+    assert longest < 20_000 and len(optimized) < 200_000
+
+
 def test_tf_idf_applies_the_vector_without_a_shuffle(spark, small_dir):
     p = plan(spark, small_dir, "tf_idf")
     assert "Exchange" not in p  # reads the checkpointed term frequencies, scales them row by row
