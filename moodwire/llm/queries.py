@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from moodwire.llm import bpe, exact_dedup, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, token_counts
+from moodwire.llm import (bpe, exact_dedup, jaccard_join, language_id, packing, prefix_trie, quality, secret_scan, sharding,
+                          substring_dedup, token_counts, vector_codes)
 from moodwire.llm.common import documents
+from moodwire.sources.tables import table
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,6 +54,14 @@ def op10_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node_key", "parent_key")
+
+
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -63,11 +73,31 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _WORDS = r"""SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
               FROM documents"""
 
+
+
+def _code_rounds(rounds: int = 6) -> str:
+    """Unrolled rounds of op13: nearest entries a_i by codebook c_(i-1), then codebook c_i."""
+    out = []
+    for i in range(1, rounds + 2):
+        out.append(f"""
+             a{i} AS MATERIALIZED (SELECT vec_id, p, min({{'d': d, 'e': e}}) AS m
+                    FROM (SELECT vec_id, p, e, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c{i - 1} USING (p, j) GROUP BY vec_id, p, e)
+                    GROUP BY vec_id, p)""")
+        if i <= rounds:
+            out.append(f"""
+             c{i} AS MATERIALIZED (SELECT p, e, j, coalesce(n.c, o.c) AS c FROM c{i - 1} o LEFT JOIN
+                    (SELECT p, m.e AS e, j, floor(sum(x) / count(*))::BIGINT AS c FROM a{i} JOIN x USING (vec_id, p) GROUP BY 1, 2, 3) n
+                    USING (p, e, j))""")
+    return ",".join(out)
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha
@@ -107,4 +137,42 @@ ORACLE_SQL: dict[str, str] = {
                                ELSE min(doc_id) OVER (PARTITION BY array_to_string(words, ' ')) END AS copy_id FROM w)
         SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, copy_id
         FROM class JOIN copies USING (doc_id) LEFT JOIN degree USING (doc_id)""",
+    "op11_prefix_trie": r"""
+        WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS at,
+                          coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+             c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
+                          xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                                lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                              lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+                   FROM t),
+             r AS (SELECT c.conv_id, 0 AS part, at, role, text FROM c JOIN t ON t.conv_id = base WHERE at <= h
+                   UNION ALL SELECT conv_id, 1, at, role, text FROM c JOIN t USING (conv_id) WHERE at > h),
+             q AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, at) AS d,
+                          len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words FROM r),
+             k AS (SELECT conv_id, d, words, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM q
+                   UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+             p AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY d) AS parent, max(d) OVER (PARTITION BY conv_id) = d AS ended FROM k),
+             nodes AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, any_value(parent) AS parent, any_value(words) AS words,
+                              sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends FROM p GROUP BY key, d),
+             kids AS (SELECT parent AS key, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY parent),
+             full_nodes AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (key)),
+             sub AS (SELECT a.key, sum((x.kids = 0)::BIGINT) AS leaves, sum((x.n - 1) * x.words) AS saved
+                     FROM full_nodes x JOIN k a ON a.conv_id = x.conv_id AND a.d <= x.d GROUP BY a.key)
+        SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+               leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+        FROM full_nodes f JOIN sub USING (key) LEFT JOIN nodes up ON up.key = f.parent""",
+    "op13_vector_codes": rf"""
+        WITH v AS MATERIALIZED (SELECT vec_id, label, len(embedding) // 8 AS w,
+                          list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+                   FROM embeddings WHERE embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             x AS MATERIALIZED (SELECT vec_id, (i - 1) // w AS p, (i - 1) % w AS j, v[i] AS x
+                   FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM v)),
+             c0 AS MATERIALIZED (SELECT p, e, j, x AS c FROM x JOIN
+                   (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 16) USING (vec_id)),
+             {_code_rounds()},
+             coded AS (SELECT vec_id, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a7 GROUP BY vec_id)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) FROM c6) AS codebooks_sha256
+        FROM coded JOIN v USING (vec_id)""",
 }
