@@ -138,16 +138,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, copy_id
         FROM class JOIN copies USING (doc_id) LEFT JOIN degree USING (doc_id)""",
     "op11_prefix_trie": r"""
-        WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS at,
+        WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
                           coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
              c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
                           xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
                                 lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
                               lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
                    FROM t),
-             r AS (SELECT c.conv_id, 0 AS part, at, role, text FROM c JOIN t ON t.conv_id = base WHERE at <= h
-                   UNION ALL SELECT conv_id, 1, at, role, text FROM c JOIN t USING (conv_id) WHERE at > h),
-             q AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, at) AS d,
+             r AS (SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = base WHERE pos <= h
+                   UNION ALL SELECT conv_id, 1, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos > h),
+             q AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d,
                           len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words FROM r),
              k AS (SELECT conv_id, d, words, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM q
                    UNION ALL SELECT conv_id, 0, 0, '' FROM c),
