@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moodwire.llm import (bpe, exact_dedup, jaccard_join, language_id, packing, prefix_trie, quality, secret_scan, sharding,
+from moodwire.llm import (bpe, exact_dedup, jaccard_join, language_id, license_scan, packing, prefix_trie, quality, secret_scan, sharding,
                           substring_dedup, token_counts, vector_codes)
 from moodwire.llm.common import documents
 from moodwire.sources.tables import table
@@ -58,6 +58,10 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node_key", "parent_key")
 
 
+def op12_license_scan(spark, sf_dir):
+    return license_scan.license_digest(documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark, sf_dir):
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_license_scan": op12_license_scan,
     "op13_vector_codes": op13_vector_codes,
 }
 
