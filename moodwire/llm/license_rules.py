@@ -151,7 +151,7 @@ PASSAGES = [
     ("cc", "creative commons", r"licensed under (?:a|the) creative commons"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
-    ("proprietary", "prior written", r"without (?:the )?(?:express |prior )+written (?:permission|consent)"),
+    ("proprietary", " written ", r"without (?:the )?(?:express |prior )+written (?:permission|consent)"),
 ]
 
 # label, keyword, weak hint
