@@ -303,9 +303,16 @@ def csv_corpus_path(spark, sf):
 
 
 def q_corpus_csv(spark, sf):
+    """The corpus from CSV files whose quoted texts hold their line feeds as they are."""
     return files.read_sentiment_csv(spark, csv_corpus_path(spark, sf))
 
 
+def q_corpus_csv_escaped(spark, sf):
+    """The same from files of one line per text, by the plain line reader."""
+    path = files.write_sentiment_csv(tables.tweets(spark, sf), work_path(spark, "csv-escaped"), escape=True)
+    return files.read_sentiment_csv(spark, path, escaped=True, quoted_lines=False)
+
+
 def q_corpus_build(spark, sf, source: str = "file"):
     """The corpus from either source, same columns: (text, label)."""
     if source == "stream":
@@ -441,6 +448,7 @@ QUERIES = {
     "stream_corpus": q_stream_corpus,
     "stream_progress": q_stream_progress,
     "corpus_csv": q_corpus_csv,
+    "corpus_csv_escaped": q_corpus_csv_escaped,
     "corpus_build": q_corpus_build,
     "corpus_build_stream": q_corpus_build_stream,
     "corpus_dump": q_corpus_dump,

@@ -233,6 +233,7 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
                          f"(VALUES ('batch'), ('online')) v(model)",
     "hashing_tf_totals": f"{BASE},\n{TOKENIZED}\nSELECT tweet_id, CAST(len(tokens) AS BIGINT) AS total FROM tokenized",
     "corpus_csv": _CSV_CORPUS,
+    "corpus_csv_escaped": _CSV_CORPUS,
     "corpus_build": _CSV_CORPUS,
     "corpus_build_stream": f"{BASE},\n{_stream_corpus_cte()}\nSELECT t.text, c.label FROM stream_corpus c JOIN tweets t USING (tweet_id)",
     "corpus_dump": f"{BASE},\n{TOKENIZED}\nSELECT t.tokens, l.label FROM tokenized t JOIN labelled l USING (tweet_id)",
