@@ -116,6 +116,7 @@ BATCH_FOLDS = 2
 BATCH_MAX_ITER = 10
 CORPUS_TARGET = 500
 SEARCH_LIMIT = 100
+STATISTICS_SECONDS = 5  # interval of the online model's evaluation
 
 # ---------------------------------------------------------------------------
 # Porter stemmer (published algorithm, M. F. Porter 1980, with the two

@@ -57,7 +57,12 @@ def _safe_div(a, b):
 
 def auc_roc(scored: DataFrame, score_col: str = "score", label_col: str = "label") -> DataFrame:
     """Area under ROC (trapezoids; tied scores count half), one row ``auc_roc``."""
-    cum = running_totals(score_counts(scored, score_col, label_col), "score", ["pos"])
+    return auc_of_counts(score_counts(scored, score_col, label_col))
+
+
+def auc_of_counts(counts: DataFrame) -> DataFrame:
+    """``auc_roc`` from (score, pos, neg), one row per score; counts of batches may be added up before."""
+    cum = running_totals(counts, "score", ["pos"])
     per_score = cum.select((F.col("neg") * (F.col("cum_pos") - F.col("pos") * 0.5)).alias("area"),
                            "pos", "neg")
     agg = per_score.agg(F.sum("area").alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))

@@ -15,7 +15,7 @@ from moodwire.operators import corpus, features, metrics, sgd, train
 from moodwire.plans import catalog
 from moodwire.session import work_path
 from moodwire.sources import files, tables
-from moodwire.streaming import online
+from moodwire.streaming import evaluation, online
 
 NOTEBOOK_FEATURES = 3000  # buckets of the exploratory notebook
 NOTEBOOK_REG = 0.01  # default regularization of the SGD trainer it called
@@ -278,6 +278,80 @@ def q_online_statistics(spark, sf):
                                  "trainer string, auc_roc double, balanced_accuracy double, accuracy double, n long")
 
 
+def fixed_weights() -> list[float]:
+    """w_j = ((7 j) mod 13 - 6) / 1024: margins over term counts are exact in binary, whatever the order of the sum."""
+    return [((7 * j) % 13 - 6) / 1024 for j in range(rules.ONLINE_FEATURES)]
+
+
+HOLDOUT_BATCHES = 3
+
+
+def fixed_evaluation(spark, sf):
+    """Evaluations of fixed weights by the clock: the hold-out arrives in ``HOLDOUT_BATCHES`` batches, two
+    ticks of the same version and hold-out at the end. Gives the evaluator."""
+    def run():
+        weights, holdout = work_path(spark, "fixed-weights"), work_path(spark, "holdout")
+        spark.createDataFrame([(fixed_weights(), 7)], evaluation.WEIGHTS_SCHEMA).write.partitionBy("version").parquet(weights)
+        test = features.with_java_tf(_test(spark, sf), num_features=rules.ONLINE_FEATURES)
+        batches = test.select("label", "idx", "val", F.pmod("tweet_id", F.lit(HOLDOUT_BATCHES)).cast("long").alias("batch_id"))
+        staged = work_path(spark, "holdout-staged")
+        batches.write.partitionBy("batch_id").parquet(staged)
+        staged = spark.read.schema(evaluation.FEATURES_SCHEMA).parquet(staged)
+        evaluator = evaluation.PeriodicEvaluator(spark, weights, holdout)
+        for k in range(HOLDOUT_BATCHES):
+            staged.filter(F.col("batch_id") == k).write.mode("append").partitionBy("batch_id").parquet(holdout)
+            evaluator.evaluate(k)
+        evaluator.evaluate(HOLDOUT_BATCHES)
+        return evaluator
+    return _once(spark, sf, "fixed_evaluation", run)
+
+
+def q_evaluation_increments(spark, sf):
+    """What each tick reported: area, accuracy and size over the hold-out batches that had arrived."""
+    return fixed_evaluation(spark, sf).statistics().select(
+        "evaluation", "model_version", F.round("area_under_roc", 9).alias("area_under_roc"), F.round("accuracy", 9).alias("accuracy"), "n")
+
+
+def q_evaluation_by_clock(spark, sf):
+    """Two evaluations of one version by a running clock query, without any tweet arriving."""
+    import time
+
+    done = fixed_evaluation(spark, sf)
+    clock = evaluation.PeriodicEvaluator(spark, done.weights_path, done.holdout_path, counts=done.counts, seconds=1)
+    query = clock.start()
+    try:
+        while query.isActive and clock.statistics().count() < 2:
+            query.awaitTermination(0.2)
+    finally:
+        clock.stop(query)
+    first = clock.statistics().orderBy("evaluation").limit(2)
+    return first.select("model_version", F.round("area_under_roc", 9).alias("area_under_roc"),
+                        F.round("accuracy", 9).alias("accuracy"), "n")
+
+
+FEED_SCHEMA = "trainer string, model_version long, accuracy double, n long, evaluation long"
+
+
+def q_statistics_live_feed(spark, sf):
+    """A subscriber that comes when half of the fixture's evaluations exist: what it is sent, and whether on
+    subscription. The other half arrives in two parts; the feed runs after each, and once more without news."""
+    path = work_path(spark, "fixture-statistics")
+    rows = catalog.fixture_statistics(spark, sf).select(
+        "trainer", "model_version", "accuracy", "n", F.col("model_version").alias("evaluation"))
+    half, quarter = catalog.STAT_VERSIONS // 2, catalog.STAT_VERSIONS // 4
+    rows = rows.persist()
+    feed = evaluation.StatisticsFeed(spark, path, schema=FEED_SCHEMA)
+    for low, high in ((0, half), (half, half + quarter), (half + quarter, catalog.STAT_VERSIONS)):
+        part = rows.filter((F.col("model_version") >= low) & (F.col("model_version") < high))
+        part.write.mode("append").partitionBy("evaluation").parquet(path)
+        feed.run()
+    evaluation.put(part, path, "evaluation")  # the same rows in new files
+    feed.run()
+    rows.unpersist()
+    return feed.delivered().select("trainer", "model_version", F.round("accuracy", 9).alias("accuracy"), "n",
+                                   (F.col("delivery") < 0).alias("on_subscription"))
+
+
 def stream_collector(spark, sf):
     def run():
         collector = online.CorpusCollector(spark, target=catalog.CAP_TARGET)
@@ -445,6 +519,9 @@ QUERIES = {
     "online_statistics": q_online_statistics,
     "statistics_feed": q_statistics_feed,
     "online_accuracy_history": q_online_accuracy_history,
+    "evaluation_increments": q_evaluation_increments,
+    "evaluation_by_clock": q_evaluation_by_clock,
+    "statistics_live_feed": q_statistics_live_feed,
     "stream_corpus": q_stream_corpus,
     "stream_progress": q_stream_progress,
     "corpus_csv": q_corpus_csv,

@@ -122,6 +122,28 @@ versions AS (
   FROM streamed GROUP BY 1)"""
 
 
+def _fixed_evaluations(upto: str, extra: str = "") -> str:
+    """Fixed weights on term counts of the hold-out: per evaluation the area, accuracy and size over the batches up to ``upto``."""
+    from moodwire.plans.models import HOLDOUT_BATCHES
+
+    return f"""{BASE},
+{TOKENIZED},
+{JAVA_TF},
+w AS (SELECT CAST(i AS INTEGER) AS idx, (((7 * i) % 13) - 6)::DOUBLE / 1024 AS w FROM range({rules.ONLINE_FEATURES}) t(i)),
+margins AS (SELECT tweet_id, sum(val * w) AS score FROM counted JOIN w USING (idx) GROUP BY tweet_id),
+scored AS (SELECT coalesce(score, 0) AS score, label, tweet_id % {HOLDOUT_BATCHES} AS batch
+           FROM labelled LEFT JOIN margins USING (tweet_id) WHERE {_SPLIT} = 'test'),
+ticks AS (SELECT evaluation FROM range({HOLDOUT_BATCHES + 1}) t(evaluation)),
+sc AS (SELECT evaluation, score, sum((label > 0.5)::INT) AS pos, sum((label <= 0.5)::INT) AS neg,
+              sum((CASE WHEN score > 0 THEN label > 0.5 ELSE label <= 0.5 END)::INT) AS hit
+       FROM ticks JOIN scored ON batch <= {upto} GROUP BY 1, 2),
+cum AS (SELECT *, sum(pos) OVER (PARTITION BY evaluation ORDER BY score DESC) AS cum_pos FROM sc)
+SELECT {extra}7::BIGINT AS model_version,
+       round(sum(neg * (cum_pos - pos * 0.5)) / (sum(pos) * sum(neg)), 9)::DOUBLE AS area_under_roc,
+       round(sum(hit)::DOUBLE / sum(pos + neg), 9) AS accuracy, sum(pos + neg)::BIGINT AS n
+FROM cum GROUP BY evaluation"""
+
+
 _HITS = (f"SELECT tweet_id FROM tweets WHERE lang = 'en' AND NOT is_retweet AND contains(lower(text), "
          f"'{catalog.SEARCH_KEYWORD}') ORDER BY ts DESC, tweet_id LIMIT {rules.SEARCH_LIMIT}")
 
@@ -214,6 +236,14 @@ df AS (SELECT token, count(*) AS doc_frequency FROM dis GROUP BY token)
 SELECT token, term_frequency, doc_frequency FROM tf JOIN df USING (token)""",
     "hashing_tf_java": f"{BASE},\n{TOKENIZED},\n{JAVA_TF}\nSELECT tweet_id, idx, val FROM tf",
     "doc_frequency": f"{BASE},\n{TOKENIZED},\n{JAVA_TF}\nSELECT idx, count(*) AS df FROM counted GROUP BY idx",
+    "evaluation_increments": _fixed_evaluations("evaluation", "evaluation, "),
+    "evaluation_by_clock": _fixed_evaluations("2 AND evaluation < 2"),
+    "statistics_live_feed": f"""{BASE},
+{FIXTURE_SCORED},
+{STATS}
+SELECT trainer, model_version, round(accuracy, 9) AS accuracy, n, model_version < {catalog.STAT_VERSIONS // 2} AS on_subscription
+FROM stats WHERE model_version >= {catalog.STAT_VERSIONS // 2}
+   OR trainer = 'batch' AND model_version = {catalog.STAT_VERSIONS // 2 - 1}""",
     "stream_corpus": f"{BASE},\n{_stream_corpus_cte()}\nSELECT tweet_id, label, batch_id FROM stream_corpus",
     "stream_progress": f"""{BASE},
 {_stream_corpus_cte()},

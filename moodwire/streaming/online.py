@@ -15,12 +15,11 @@ is the bucket count) reach the driver.
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
@@ -78,82 +77,117 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
 
 # ----------------------------------------------------------------------------- corpus collection
 
+def committed(query) -> int:
+    """The last micro-batch that the query has committed, -1 for none. (A progress report follows the commit
+    of its batch; one without a commit is a trigger that found no data, its batch is still to come.)"""
+    last = query.lastProgress
+    if last is None:
+        return -1
+    return last["batchId"] if "commitOffsets" in last["durationMs"] else last["batchId"] - 1
+
+
 @dataclass
 class CollectorState:
-    full: bool = False
-    batches: int = 0
+    filled_by: int | None = None  # the batch that filled both classes
+    processed: list[int] = field(default_factory=list)
+
+    @property
+    def full(self) -> bool:
+        return self.filled_by is not None
+
+
+PROGRESS_SCHEMA = "pos long, neg long, positives long, negatives long, batch_id long"
 
 
 class CorpusCollector:
     """Collect a class-balanced corpus from a status stream: per batch, append rows of a
-    class while it is below ``target // 2`` (exact cap, arrival order), stop once both are full."""
+    class while it is below ``target // 2`` (exact cap, arrival order), stop once both are full.
+
+    One job runs over the rows of a batch: it writes them, and the class counts are observed as they are
+    written. A one-row progress table holds the running totals per batch, so the corpus is never read
+    again; a replayed batch starts from the totals before it and overwrites its own rows.
+    """
 
     def __init__(self, spark: SparkSession, corpus_path: str | None = None, checkpoint: str | None = None,
-                 target: int = rules.CORPUS_TARGET):
+                 target: int = rules.CORPUS_TARGET, progress_path: str | None = None):
         self.spark = spark
         self.corpus_path = corpus_path or work_path(spark, "corpus")
+        self.progress_path = progress_path or f"{self.corpus_path.rstrip('/')}-progress"
         self.checkpoint = checkpoint or work_path(spark, "corpus-ckpt")
         self.half = target // 2
         self.state = CollectorState()
-        self._stop = threading.Event()
+        self._last: tuple[int, dict[float, int]] | None = None  # (batch, totals after it) of this run
 
-    def counts_before(self, batch_id: int) -> dict[float, int]:
-        table = _table(self.spark, self.corpus_path, "label double, batch_id long")
-        if table is None:
-            return {}
-        rows = table.filter(F.col("batch_id") < batch_id).groupBy("label").count().collect()
-        return {r["label"]: r["count"] for r in rows}
+    def totals_before(self, batch_id: int) -> dict[float, int]:
+        """Rows of each class that the batches before ``batch_id`` have collected."""
+        if self._last is not None and self._last[0] < batch_id:
+            return self._last[1]
+        table = _table(self.spark, self.progress_path, PROGRESS_SCHEMA)
+        row = None if table is None else (table.filter(F.col("batch_id") < batch_id)
+                                          .orderBy(F.col("batch_id").desc()).first())
+        return {1.0: row["positives"], 0.0: row["negatives"]} if row else {1.0: 0, 0.0: 0}
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        have = self.counts_before(batch_id)
-        room = {lab: max(self.half - have.get(lab, 0), 0) for lab in (0.0, 1.0)}
+        self.state.processed.append(batch_id)
+        have = self.totals_before(batch_id)
+        room = {lab: max(self.half - have[lab], 0) for lab in (0.0, 1.0)}
         if room[0.0] == 0 and room[1.0] == 0:
-            self.state.full = True
-            self._stop.set()
-            return
+            return  # full before this batch
         first = corpus.first_per_class(batch, max(room.values()), rank="__r")
         capped = (first.filter(((F.col("label") == 1.0) & (F.col("__r") <= room[1.0]))
                                | ((F.col("label") == 0.0) & (F.col("__r") <= room[0.0])))
                   .drop("__r").withColumn("batch_id", F.lit(batch_id).cast("long")))
-        (capped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.corpus_path))
-        self.state.batches += 1
-        after = self.counts_before(batch_id + 1)
-        if after.get(0.0, 0) >= self.half and after.get(1.0, 0) >= self.half:
-            self.state.full = True
-            self._stop.set()
+        seen = Observation()
+        count = lambda lab: F.count(F.when(F.col("label") == lab, 1))
+        (capped.observe(seen, count(1.0).alias("pos"), count(0.0).alias("neg"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.corpus_path))
+        new = seen.get
+        after = {1.0: have[1.0] + new["pos"], 0.0: have[0.0] + new["neg"]}
+        row = self.spark.createDataFrame([(new["pos"], new["neg"], after[1.0], after[0.0], batch_id)], PROGRESS_SCHEMA)
+        (row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(self.progress_path))
+        self._last = (batch_id, after)
+        if min(after.values()) >= self.half:
+            self.state.filled_by = batch_id
 
     def run(self, stream: DataFrame, available_now: bool = True, timeout: float | None = None) -> DataFrame:
         """Run until both classes are full, the input is exhausted (``available_now``) or
-        ``timeout`` seconds have passed (1-second micro-batches otherwise)."""
+        ``timeout`` seconds have passed (1-second micro-batches otherwise).
+
+        The stop is graceful: the batch that filled the classes is committed first, so a query started again on
+        the same checkpoint goes on behind it. A corpus that is full already starts no query.
+        """
         import time
 
+        if min(self.totals_before(1 << 62).values()) >= self.half:
+            return self.corpus()
         writer = (labelled_stream(stream).writeStream.foreachBatch(self._process)
                   .option("checkpointLocation", self.checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")
         query = writer.start()
         deadline = None if timeout is None else time.monotonic() + timeout
-        while query.isActive and not self._stop.is_set():
-            if deadline is not None and time.monotonic() >= deadline:
-                break
-            query.awaitTermination(0.2)
-        if query.isActive:
-            query.stop()  # both classes full: graceful stop, the session stays
+        while query.isActive:
+            if self.state.full and committed(query) >= self.state.filled_by:
+                query.stop()  # the session stays
+            elif deadline is not None and time.monotonic() >= deadline:
+                query.stop()
+            else:
+                query.awaitTermination(0.05)
         if query.exception() is not None:
             raise query.exception()
         return self.corpus()
 
     def corpus(self) -> DataFrame:
-        return self.spark.read.parquet(self.corpus_path)
+        """The collected rows; empty if none were."""
+        table = _table(self.spark, self.corpus_path, f"{STATUS_SCHEMA}, label double, batch_id long")
+        return self.spark.createDataFrame([], f"{STATUS_SCHEMA}, label double, batch_id long") if table is None else table
 
     def progress(self) -> DataFrame:
-        """Per batch: positives and negatives collected so far."""
-        per = self.corpus().groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
-            F.sum(F.col("label").cast("long")).alias("pos"), F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-        from moodwire.operators.metrics import running_totals
-
-        cum = running_totals(per, "batch_id", ["pos", "neg"], descending=False)
-        return cum.select("batch_id", F.col("cum_pos").alias("positives"), F.col("cum_neg").alias("negatives"))
+        """Per batch that collected something: positives and negatives collected so far."""
+        table = _table(self.spark, self.progress_path, PROGRESS_SCHEMA)
+        if table is None:
+            table = self.spark.createDataFrame([], PROGRESS_SCHEMA)
+        return table.filter(F.col("pos") + F.col("neg") > 0).select("batch_id", "positives", "negatives")
 
 
 # ----------------------------------------------------------------------------- online training

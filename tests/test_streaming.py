@@ -31,7 +31,7 @@ def test_landed_ranges_are_whole_and_in_order(spark, small_dir):
 def test_unreadable_state_raises_instead_of_starting_anew(spark, tmp_path):
     """A missing table means nothing was collected; a broken one must not pass for that."""
     collector = online.CorpusCollector(spark, corpus_path=str(tmp_path / "none"))
-    assert collector.counts_before(3) == {}
+    assert collector.totals_before(3) == {0.0: 0, 1.0: 0}
     broken = tmp_path / "broken"
     broken.mkdir()
     (broken / "part-0.parquet").write_bytes(b"not parquet")
@@ -84,6 +84,47 @@ def test_collector_with_processing_time_trigger_stops_when_full(spark, small_dir
     assert counts == {0.0: 10, 1.0: 10}
 
 
+def commits(path):
+    return sorted(int(f.name) for f in (path / "commits").iterdir() if f.name.isdigit())
+
+
+@pytest.mark.parametrize("available_now", [True, False])
+def test_stop_follows_the_commit_and_nothing_is_replayed(spark, small_dir, tmp_path, available_now):
+    *_, path = landed(spark, small_dir, 4)
+    where = {"corpus_path": str(tmp_path / "corpus"), "checkpoint": str(tmp_path / "ckpt"), "target": 20}
+    first = online.CorpusCollector(spark, **where)
+    first.run(online.status_stream(spark, path, files_per_trigger=1), available_now, timeout=120)
+    filled = first.state.filled_by
+    assert first.state.full and filled in commits(tmp_path / "ckpt")
+    rows = sorted(r.tweet_id for r in first.corpus().collect())
+
+    # full: no query starts; with room again, the next run goes on behind the committed batch
+    again = online.CorpusCollector(spark, **where)
+    again.run(online.status_stream(spark, path, files_per_trigger=1))
+    assert again.state.processed == [] and sorted(r.tweet_id for r in again.corpus().collect()) == rows
+    more = online.CorpusCollector(spark, **{**where, "target": 24})
+    more.run(online.status_stream(spark, path, files_per_trigger=1))
+    assert more.state.processed and min(more.state.processed) > filled
+    assert set(rows) < {r.tweet_id for r in more.corpus().collect()}
+
+
+def test_progress_is_observed_and_replay_gives_the_same_totals(spark, small_dir):
+    labelled = online.labelled_stream(tables.tweets(spark, small_dir))
+    parts = [labelled.filter(F.col("tweet_id") % 3 == k) for k in range(3)]
+    collector = online.CorpusCollector(spark, target=60)
+    for k, part in enumerate(parts):
+        collector._process(part, k)
+    rows = collector.progress().orderBy("batch_id").collect()
+    for r in rows:
+        upto = collector.corpus().filter(F.col("batch_id") <= r.batch_id)
+        assert (upto.filter("label = 1.0").count(), upto.filter("label = 0.0").count()) == (r.positives, r.negatives)
+    replay = online.CorpusCollector(spark, corpus_path=collector.corpus_path, target=60)
+    replay._process(parts[1], 1)  # after a restart: nothing is known but the tables
+    assert replay.progress().orderBy("batch_id").collect() == rows
+    replay._process(labelled.limit(0), 3)
+    assert replay.progress().orderBy("batch_id").collect() == rows
+
+
 def test_evaluation_by_the_clock_and_mixed_features(spark, small_dir):
     table = tables.tweets(spark, small_dir)
     labelled = online.labelled_stream(table)
