@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
-from moodwire.operators import corpus, features, metrics, sgd, train
+from moodwire.operators import corpus, features, metrics, pca, sgd, train
 from moodwire.plans import catalog
 from moodwire.session import work_path
 from moodwire.sources import files, tables
 from moodwire.streaming import evaluation, online
 
 NOTEBOOK_FEATURES = 3000  # buckets of the exploratory notebook
+WIDE_FEATURES = 1 << 18
 NOTEBOOK_REG = 0.01  # default regularization of the SGD trainer it called
 STREAM_RANGES = 4  # ranges of arrival, each replayed as one micro-batch
 
@@ -493,8 +494,17 @@ def q_pca(spark, sf):
 
 def q_pca_tweets(spark, sf):
     """Three principal components of the tweets' hashed term frequencies."""
-    made = features.hashing_tf(rules.ONLINE_FEATURES).transform(split_corpus(spark, sf))
-    return train.pca(made.select("tweet_id", "features"), 3).select("tweet_id", vector_to_array("pca").alias("pca"))
+    made = java_features(spark, sf, rules.ONLINE_FEATURES)
+    return pca.pca_sparse(made, rules.ONLINE_FEATURES, 3).select("tweet_id", "pca")
+
+
+def q_pca_wide(spark, sf):
+    """The same over 2^18 buckets, far beyond a square matrix: variance along each component."""
+    from pyspark.sql import Row
+
+    model = pca.fit(java_features(spark, sf, WIDE_FEATURES), WIDE_FEATURES, 3)
+    return spark.createDataFrame([Row(component=j, variance=float(v)) for j, v in enumerate(model.variances)],
+                                 "component int, variance double")
 
 
 QUERIES = {
@@ -535,5 +545,6 @@ QUERIES = {
     "classify_summary": q_classify_summary,
     "pca": q_pca,
     "pca_tweets": q_pca_tweets,
+    "pca_wide": q_pca_wide,
     "flagship": q_flagship,
 }
