@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -13,56 +16,93 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
+from moodwire.operators import corpus
+
+
+def with_folds(data: DataFrame, folds: int, id_col: str = "tweet_id", out: str = "fold") -> DataFrame:
+    """Add the fold of each row, 0 to ``folds - 1``, by a stable hash of its id: the same on every run and cluster."""
+    return data.withColumn(out, corpus.split_bucket(F.col(id_col), folds).cast("int"))
+
+
+@dataclass
+class TunedModel:
+    """A cross-validated grid: (num_features, reg_param, max_iter) per point, mean area per point, and the best
+    point refitted on all rows."""
+
+    settings: list[tuple[int, float, int]]
+    avgMetrics: list[float]
+    bestModel: object
+
+
+def _cross_validate(data: DataFrame, lr: LogisticRegression, grid: list, folds: int, parallelism: int):
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
+                        foldCol="fold", parallelism=parallelism)
+    return cv.fit(data)
 
 
 def batch_cv(data: DataFrame, features=rules.BATCH_GRID_FEATURES, regs=rules.BATCH_GRID_REG,
-             folds: int = rules.BATCH_FOLDS, max_iter: int = rules.BATCH_MAX_ITER, seed: int = 42,
-             parallelism: int | None = None):
-    """Pipeline(HashingTF, LogisticRegression) tuned by k-fold CV on area under ROC.
+             folds: int = rules.BATCH_FOLDS, max_iter: int = rules.BATCH_MAX_ITER, parallelism: int | None = None,
+             id_col: str = "tweet_id") -> TunedModel | None:
+    """HashingTF + LogisticRegression tuned by k-fold CV on area under ROC; folds by the hash of the id.
 
-    ``data`` has ``tokens`` and ``label``. Returns the fitted ``CrossValidatorModel``.
-    Training data is persisted for the repeated passes of the folds.
+    ``data`` has an id, ``tokens`` and ``label``. The tokens are hashed once per bucket count and kept as
+    vectors; the grid's fits read those. The best model is a pipeline that takes tokens. None for an empty table.
     """
-    tf = HashingTF(inputCol="tokens", outputCol="features")
-    lr = LogisticRegression(maxIter=max_iter)
-    pipeline = Pipeline(stages=[tf, lr])
-    grid = ParamGridBuilder().addGrid(tf.numFeatures, list(features)).addGrid(lr.regParam, list(regs)).build()
-    # the grid's fits are independent small jobs: run them side by side, at most one per core
-    if parallelism is None:
-        parallelism = max(1, min(len(grid), data.sparkSession.sparkContext.defaultParallelism))
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    cached = data.select("tokens", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    hashers = {n: HashingTF(inputCol="tokens", outputCol=f"tf_{n}", numFeatures=n) for n in features}
+    rows = with_folds(data.select(id_col, "tokens", "label"), folds, id_col)
+    for hasher in hashers.values():
+        rows = hasher.transform(rows)
+    cached = rows.drop(id_col, "tokens").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return cv.fit(cached)
+        if cached.isEmpty():
+            return None
+        lr = LogisticRegression(maxIter=max_iter)
+        grid = ParamGridBuilder().addGrid(lr.featuresCol, [f"tf_{n}" for n in features]).addGrid(lr.regParam, list(regs)).build()
+        # the grid's fits are independent small jobs: run them side by side, at most one per core
+        if parallelism is None:
+            parallelism = max(1, min(len(grid), data.sparkSession.sparkContext.defaultParallelism))
+        found = _cross_validate(cached, lr, grid, folds, parallelism)
+        settings = [(int(point[lr.featuresCol].removeprefix("tf_")), float(point[lr.regParam]), max_iter) for point in grid]
+        best = found.bestModel
+        hasher = hashers[int(best.getFeaturesCol().removeprefix("tf_"))]
+        return TunedModel(settings, list(found.avgMetrics), PipelineModel([hasher, best]))
     finally:
         cached.unpersist()
 
 
-def cv_summary(cv_model) -> list[tuple]:
+def cv_summary(model: TunedModel | None) -> list[tuple]:
     """(num_features, reg_param, max_iter, avg_auc) per grid point, and which one is best."""
-    rows = []
-    best = cv_model.avgMetrics.index(max(cv_model.avgMetrics))  # of ties the first, as the refit takes
-    for k, (params, metric) in enumerate(zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)):
-        named = {p.name: v for p, v in params.items()}
-        rows.append((int(named.get("numFeatures", -1)), float(named.get("regParam", -1.0)),
-                     int(named.get("maxIter", -1)), float(metric), k == best))
-    return rows
+    if model is None:
+        return []
+    best = model.avgMetrics.index(max(model.avgMetrics))  # of ties the first, as the refit takes
+    return [(*point, float(metric), k == best) for k, (point, metric) in enumerate(zip(model.settings, model.avgMetrics))]
 
 
-def lr_cv_grid(data: DataFrame, max_iters=(0, 1), folds: int = 3, seed: int = 42):
-    """LogisticRegression on a ``features`` column, grid on maxIter, default 3 folds."""
+def lr_cv_grid(data: DataFrame, max_iters=(0, 1), folds: int = 3, id_col: str = "tweet_id") -> TunedModel | None:
+    """LogisticRegression on a ``features`` column, grid on maxIter, 3 folds. None for an empty table."""
     lr = LogisticRegression()
     grid = ParamGridBuilder().addGrid(lr.maxIter, list(max_iters)).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                        numFolds=folds, seed=seed)
-    cached = data.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    cached = with_folds(data, folds, id_col).select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return cv.fit(cached)
+        if cached.isEmpty():
+            return None
+        found = _cross_validate(cached, lr, grid, folds, 1)
+        return TunedModel([(-1, -1.0, int(m)) for m in max_iters], list(found.avgMetrics), found.bestModel)
     finally:
         cached.unpersist()
 
 
+def fold_scores(data: DataFrame, max_iter: int, folds: int = 3, id_col: str = "tweet_id") -> DataFrame:
+    """What cross validation sees: every row (id, fold, label) scored by the model of the other folds."""
+    rows = with_folds(data, folds, id_col)
+    parts = []
+    for k in range(folds):
+        model = LogisticRegression(maxIter=max_iter).fit(rows.filter(F.col("fold") != k))
+        parts.append(model.transform(rows.filter(F.col("fold") == k)).select(
+            id_col, "fold", "label", vector_to_array("probability").getItem(1).alias("score")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def predict_batch(model, tweets: DataFrame, keep=("tweet_id",)) -> DataFrame:
     """(tweet, prediction, probability of the positive class), plus the ``keep`` columns
     present in the input; stays distributed."""

@@ -164,6 +164,18 @@ def q_train_cv_grid(spark, sf):
     return spark.createDataFrame(rows, "num_features int, reg_param double, max_iter int, avg_auc double, best boolean")
 
 
+def q_cv_fold_constants(spark, sf):
+    """Grid point maxIter = 0 of the cross validation: per fold its rows, the constant score (the share of
+    positives in the other folds) and its area under ROC."""
+    scored = train.fold_scores(sparse_features(spark, sf), 0)
+    areas = []
+    for k in range(3):
+        areas.append(metrics.auc_roc(scored.filter(F.col("fold") == k)).select(F.lit(k).alias("fold"), F.col("auc_roc").alias("auc")))
+    auc = areas[0].unionByName(areas[1]).unionByName(areas[2])
+    per = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("score"), 9).alias("low"), F.round(F.max("score"), 9).alias("high"))
+    return per.join(auc, "fold")
+
+
 def warm_start_model(spark, sf):
     def fit():
         start = [float(x) for x in cv_grid_model(spark, sf).bestModel.coefficients.toArray()]
@@ -520,6 +532,7 @@ QUERIES = {
     "batch_statistics": q_batch_statistics,
     "train_sgd": q_train_sgd,
     "train_cv_grid": q_train_cv_grid,
+    "cv_fold_constants": q_cv_fold_constants,
     "train_warm_start": q_train_warm_start,
     "warm_start_statistics": q_warm_start_statistics,
     "sgd_statistics": q_sgd_statistics,

@@ -262,6 +262,11 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
     "classify_coverage": f"{BASE},\nhits AS ({_HITS})\nSELECT model, tweet_id, true AS decided FROM hits, "
                          f"(VALUES ('batch'), ('online')) v(model)",
     "hashing_tf_totals": f"{BASE},\n{TOKENIZED}\nSELECT tweet_id, CAST(len(tokens) AS BIGINT) AS total FROM tokenized",
+    "cv_fold_constants": f"""{BASE},
+folded AS (SELECT label, CAST(('0x' || substr(md5(CAST(tweet_id AS VARCHAR)), 1, 8))::BIGINT % 3 AS INTEGER) AS fold FROM labelled)
+SELECT fold, count(*) AS n, any_value(share) AS low, any_value(share) AS high, 0.5::DOUBLE AS auc
+FROM folded JOIN (SELECT f.fold, round(avg(o.label), 9) AS share FROM (SELECT DISTINCT fold FROM folded) f
+                  JOIN folded o ON o.fold <> f.fold GROUP BY f.fold) USING (fold) GROUP BY fold""",
     "corpus_csv": _CSV_CORPUS,
     "corpus_csv_escaped": _CSV_CORPUS,
     "corpus_build": _CSV_CORPUS,
