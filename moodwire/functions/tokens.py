@@ -16,8 +16,9 @@ not once per window position.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -97,6 +98,42 @@ class TextChain:
         arrays = [tok(normalized) for tok in self.tokenizers]
         return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
 
+    def describe(self) -> dict:
+        """The chain as plain data (for JSON): dictionaries in full, functions by module and name,
+        ``functools.partial`` with its keywords. Lambdas and closures cannot be described and raise."""
+        return {"normalizers": [_described(f) for f in self.normalizers],
+                "stemmer": None if self.stemmer is None else _described(self.stemmer),
+                "tokenizers": [_described(f) for f in self.tokenizers]}
+
+    @classmethod
+    def from_description(cls, description: dict) -> TextChain:
+        stemmer = description["stemmer"]
+        return cls([_named(d) for d in description["normalizers"]], None if stemmer is None else _named(stemmer),
+                   [_named(d) for d in description["tokenizers"]])
+
+
+def _described(part: Callable[[Column], Column]) -> dict:
+    if isinstance(part, _text.DictionaryRule):
+        return {"dictionary": [list(p) for p in part.pairs], "literal": part.literal, "lowercase": part.lowercase}
+    if isinstance(part, partial) and not part.args:
+        return _described(part.func) | {"keywords": part.keywords}
+    name = f"{getattr(part, '__module__', None)}:{getattr(part, '__qualname__', '<>')}"
+    if "<" in name or _imported(name) is not part:
+        raise ValueError(f"{part!r} cannot be described: use a function of a module, or functools.partial of one with keywords")
+    return {"function": name}
+
+
+def _imported(name: str) -> Callable[[Column], Column] | None:
+    module, _, path = name.partition(":")
+    return reduce(lambda o, a: getattr(o, a, None), path.split("."), importlib.import_module(module))
+
+
+def _named(description: dict) -> Callable[[Column], Column]:
+    if "dictionary" in description:
+        return _text.DictionaryRule([tuple(p) for p in description["dictionary"]], description["literal"], description["lowercase"])
+    found = _imported(description["function"])
+    return partial(found, **description["keywords"]) if "keywords" in description else found
+
 
 DEFAULT_CHAIN = TextChain(
     normalizers=[_text.normalize_sentiment, _text.normalize_shortforms, _text.normalize_noise],

@@ -16,8 +16,13 @@ aggregation and applied as one literal array.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Transformer
 from pyspark.ml.feature import HashingTF
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,15 +132,29 @@ def with_tf_idf(df: DataFrame, idf: list[float], idx_col: str = "idx", val_col:
                                          lambda i, v: v * F.element_at(weights, i + 1)))
 
 
-class TokenTransformer(Transformer):
-    """A text chain as a stage of an ml ``Pipeline``: adds the chain's token array."""
+class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """A text chain as a stage of an ml ``Pipeline``: adds the chain's token array.
+
+    The chain is a parameter (its description as JSON), so a pipeline that holds this stage can be
+    saved, loaded elsewhere, and given raw text.
+    """
+
+    chain = Param(Params._dummy(), "chain", "description of the text chain (JSON)", TypeConverters.toString)
 
     def __init__(self, chain: TextChain = DEFAULT_CHAIN, input_col: str = "text", output_col: str = "tokens"):
         super().__init__()
-        self.chain, self.input_col, self.output_col = chain, input_col, output_col
+        self._own = chain  # of a chain that cannot be described, saving raises, using does not
+        self._set(inputCol=input_col, outputCol=output_col)
+
+    def text_chain(self) -> TextChain:
+        return TextChain.from_description(json.loads(self.getOrDefault(self.chain))) if self.isSet(self.chain) else self._own
+
+    def write(self):
+        self._set(chain=json.dumps(self.text_chain().describe()))
+        return super().write()
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return corpus.with_tokens(dataset, self.input_col, self.output_col, self.chain)
+        return corpus.with_tokens(dataset, self.getInputCol(), self.getOutputCol(), self.text_chain())
 
 
 def hashing_tf(num_features: int = rules.ONLINE_FEATURES, input_col: str = "tokens",

@@ -60,7 +60,8 @@ def fit(df: DataFrame, num_features: int, k: int = 3, oversample: int = 10, max_
                 n += len(y)
             yield total, n
 
-        total, m = data.mapPartitions(moments).treeReduce(_add)
+        parts = data.getNumPartitions()  # none for a table that is known to be empty
+        total, m = data.mapPartitions(moments).treeReduce(_add) if parts else (np.zeros(num_features), 0)
         if m == 0:
             return PcaModel([], [], [0.0] * num_features, 0, 0)
         mean = total / m

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions import rules
+from moodwire.functions.tokens import DEFAULT_CHAIN, TextChain
 from moodwire.operators import corpus
+from moodwire.operators.features import TokenTransformer
 
 
 def with_folds(data: DataFrame, folds: int, id_col: str = "tweet_id", out: str = "fold") -> DataFrame:
@@ -105,15 +107,20 @@ def fold_scores(data: DataFrame, max_iter: int, folds: int = 3, id_col: str = "t
 
 def predict_batch(model, tweets: DataFrame, keep=("tweet_id",)) -> DataFrame:
     """(tweet, prediction, probability of the positive class), plus the ``keep`` columns
-    present in the input; stays distributed."""
-    out = model.transform(tweets)
+    present in the input; stays distributed. Without a model (trained on an empty corpus) no rows."""
     extra = [c for c in keep if c in tweets.columns]
+    if model is None:
+        none = F.lit(None).cast("double")
+        return tweets.select(*extra, "tweet", none.alias("prediction"), none.alias("score")).limit(0)
+    out = model.transform(tweets)
     return out.select(*extra, F.col("tweet"), F.col("prediction"),
                       vector_to_array(F.col("probability")).getItem(1).alias("score"))
 
 
-def default_pipeline(data: DataFrame) -> PipelineModel:
-    """Pipeline(HashingTF, LogisticRegression) with default parameters."""
+def default_pipeline(data: DataFrame) -> PipelineModel | None:
+    """Pipeline(HashingTF, LogisticRegression) with default parameters. None for an empty table."""
+    if data.isEmpty():
+        return None
     return Pipeline(stages=[HashingTF(inputCol="tokens", outputCol="features"), LogisticRegression()]).fit(data)
 
 
@@ -127,6 +134,11 @@ def save_model(model: PipelineModel, folder: str, version: int) -> None:
         f"{folder}/versions")
 
 
+def raw_text_model(model: PipelineModel, chain: TextChain = DEFAULT_CHAIN, text_col: str = "tweet") -> PipelineModel:
+    """A fitted pipeline on tokens, preceded by the text chain: it takes raw text, also after saving and loading."""
+    return PipelineModel([TokenTransformer(chain, text_col, "tokens"), *model.stages])
+
+
 def load_latest(spark: SparkSession, folder: str) -> tuple[int, PipelineModel]:
     """(version, model) of the highest saved version."""
     row = spark.read.parquet(f"{folder}/versions").orderBy(F.col("version").desc()).first()
@@ -134,5 +146,8 @@ def load_latest(spark: SparkSession, folder: str) -> tuple[int, PipelineModel]:
 
 
 def pca(df: DataFrame, k: int = 3, input_col: str = "features") -> DataFrame:
+    """Dense rows of moderate width; wide sparse ones: ``operators.pca``. An empty table stays empty."""
+    if df.isEmpty():
+        return df.withColumn("pca", F.col(input_col))
     model = PCA(k=k, inputCol=input_col, outputCol="pca").fit(df)
     return model.transform(df)

@@ -89,13 +89,13 @@ def q_default_pipeline(spark, sf):
 
 
 def q_batch_latest_model(spark, sf):
-    """Two versions of the batch model saved, the latest loaded and used: per held-out tweet its
-    version, and whether it predicts what the model in memory does."""
+    """Two versions of the batch model saved with their text chain, the latest loaded and given raw text:
+    per held-out tweet its version, and whether it predicts what the model in memory does of the tokens."""
     folder, best = work_path(spark, "batch-models"), batch_model(spark, sf).bestModel
     for version in (0, 1):
-        train.save_model(best, folder, version)
+        train.save_model(train.raw_text_model(best), folder, version)
     version, loaded = train.load_latest(spark, folder)
-    again = train.predict_batch(loaded, _test(spark, sf)).select("tweet_id", F.col("score").alias("loaded"))
+    again = train.predict_batch(loaded, _test(spark, sf).drop("tokens")).select("tweet_id", F.col("score").alias("loaded"))
     first = train.predict_batch(best, _test(spark, sf)).select("tweet_id", "score")
     return first.join(again, "tweet_id").select("tweet_id", F.lit(version).cast("long").alias("version"),
                                                 (F.col("score") == F.col("loaded")).alias("same"))

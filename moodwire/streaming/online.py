@@ -128,6 +128,8 @@ class CorpusCollector:
         return {1.0: row["positives"], 0.0: row["negatives"]} if row else {1.0: 0, 0.0: 0}
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch. It is observed in its own session (a stream clones one): a session that has
+        observed something cannot score with ml models fitted in it later (their summaries hold the session)."""
         self.state.processed.append(batch_id)
         have = self.totals_before(batch_id)
         room = {lab: max(self.half - have[lab], 0) for lab in (0.0, 1.0)}
@@ -267,7 +269,10 @@ class OnlineTrainer:
          .partitionBy("model_version").parquet(self.statistics_path))
 
     def statistics(self) -> DataFrame:
-        return self.spark.read.parquet(self.statistics_path)
+        schema = ("trainer string, model string, area_under_roc double, accuracy double, n long, ts timestamp, "
+                  "model_version long")
+        table = _table(self.spark, self.statistics_path, schema)
+        return self.spark.createDataFrame([], schema) if table is None else table
 
     def run(self, stream: DataFrame, available_now: bool = True):
         writer = (labelled_stream(stream).writeStream.foreachBatch(self.process)
@@ -281,7 +286,10 @@ class OnlineTrainer:
         return query
 
     def versions(self) -> DataFrame:
-        return self.spark.read.parquet(self.weights_path)
+        """All versions; no rows before the first batch that held any."""
+        schema = "weights array<double>, intercept double, iterations int, converged boolean, rows long, version long"
+        table = _table(self.spark, self.weights_path, schema)
+        return self.spark.createDataFrame([], schema) if table is None else table
 
     def latest(self) -> DataFrame:
         v = self.versions()

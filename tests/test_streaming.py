@@ -109,7 +109,7 @@ def test_stop_follows_the_commit_and_nothing_is_replayed(spark, small_dir, tmp_p
 
 
 def test_progress_is_observed_and_replay_gives_the_same_totals(spark, small_dir):
-    labelled = online.labelled_stream(tables.tweets(spark, small_dir))
+    labelled = online.labelled_stream(tables.tweets(spark.newSession(), small_dir))  # as a stream's batches
     parts = [labelled.filter(F.col("tweet_id") % 3 == k) for k in range(3)]
     collector = online.CorpusCollector(spark, target=60)
     for k, part in enumerate(parts):
@@ -148,3 +148,26 @@ def test_token_transformer_in_a_pipeline(spark, small_dir):
     got = model.transform(table).select("tweet_id", "tokens")
     want = corpus.with_tokens(table).select("tweet_id", "tokens")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_saved_pipeline_takes_raw_text(spark, small_dir, tmp_path):
+    from functools import partial
+
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+
+    from moodwire.functions import stem, text, tokens
+    from moodwire.operators import features
+
+    table = catalog.labelled(spark, small_dir)
+    chain = tokens.TextChain([text.DictionaryRule({"haha": "laugh"}), text.normalize_noise], stem.stem_text,
+                             [tokens.unigrams, partial(tokens.ngrams, n=3)])
+    for k, c in enumerate((tokens.DEFAULT_CHAIN, chain)):
+        model = Pipeline(stages=[features.TokenTransformer(c), features.hashing_tf(50), LogisticRegression(maxIter=3)]).fit(table)
+        model.write().overwrite().save(str(tmp_path / str(k)))
+        loaded = PipelineModel.load(str(tmp_path / str(k)))
+        cols = ["tweet_id", "tokens", "prediction"]
+        got, want = (m.transform(table).select(*cols) for m in (loaded, model))
+        assert got.exceptAll(want).count() == 0 and got.count() == table.count()
+    with pytest.raises(ValueError, match="cannot be described"):
+        features.TokenTransformer(tokens.TextChain(tokenizers=[lambda c: F.split(c, " ")])).write()
