@@ -75,17 +75,20 @@ def q_predict_batch(spark, sf):
     return train.predict_batch(batch_model(spark, sf).bestModel, _test(spark, sf))
 
 
-def q_predict_batch_checks(spark, sf):
-    """Per held-out tweet: the class is the probability above one half."""
-    scored = train.predict_batch(batch_model(spark, sf).bestModel, _test(spark, sf))
-    return scored.select("tweet_id", ((F.col("score") > 0.5).cast("double") == F.col("prediction")).alias("consistent"))
+def q_predict_batch_untrained(spark, sf):
+    """Batch scoring by a pipeline of no iterations: every held-out tweet gets the share of positives
+    in the training rows as its score, and the class that follows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    model = Pipeline(stages=[features.hashing_tf(10), LogisticRegression(maxIter=0)]).fit(_train(spark, sf))
+    return train.predict_batch(model, _test(spark, sf)).select("tweet_id", "prediction", F.round("score", 9).alias("score"))
 
 
 def q_default_pipeline(spark, sf):
-    """The untuned pipeline: per held-out tweet, whether its class is the probability above one half."""
+    """The untuned pipeline: class and score per held-out tweet."""
     model = _once(spark, sf, "default_pipeline", lambda: train.default_pipeline(_train(spark, sf)))
-    scored = train.predict_batch(model, _test(spark, sf))
-    return scored.select("tweet_id", ((F.col("score") > 0.5).cast("double") == F.col("prediction")).alias("consistent"))
+    return train.predict_batch(model, _test(spark, sf)).select("tweet_id", "prediction", "score")
 
 
 def q_batch_latest_model(spark, sf):
@@ -108,6 +111,15 @@ def q_batch_statistics(spark, sf):
     return row.drop("ts")  # a time stamp would make the row unrepeatable
 
 
+def q_batch_statistics_fixed(spark, sf):
+    """The statistics row of a scored hold-out, on the fixture score."""
+    scored = corpus.hash_split(catalog.labelled(spark, sf)).filter(F.col("split") == "test").select(
+        "label", catalog.fixture_score().alias("score")).withColumn("prediction", (F.col("score") > 0.5).cast("double"))
+    row = metrics.statistics_row(scored, "batch", "fixture", 3)
+    return row.select("trainer", "model_version", "model", F.round("area_under_roc", 9).alias("area_under_roc"),
+                      F.round("accuracy", 9).alias("accuracy"), "n")
+
+
 # ----------------------------------------------------------------------------- SGD (notebook)
 
 def java_features(spark, sf, num_features=NOTEBOOK_FEATURES):
@@ -463,19 +475,38 @@ def q_classify_keyword(spark, sf):
     return classify(spark, sf)
 
 
-def q_classify_coverage(spark, sf):
-    """Which tweets which model scored, whatever it said."""
-    return classify(spark, sf).select("model", "tweet_id", F.col("prediction").isin(0.0, 1.0).alias("decided"))
+def fixed_classification(spark, sf) -> DataFrame:
+    """The keyword's tweets by two given predictors: the fixture score above one half, and fixed weights on term counts."""
+    hits = corpus.with_tokens(search_hits(spark, sf), text_col="tweet")
+
+    def by_weights(df):
+        return sgd.with_online_prediction(features.with_java_tf(df, num_features=rules.ONLINE_FEATURES), fixed_weights())
+
+    return classify_with(hits, {
+        "batch": lambda df: df.withColumn("prediction", (catalog.fixture_score() > 0.5).cast("double")), "online": by_weights})
+
+
+def q_classify_fixed(spark, sf):
+    return fixed_classification(spark, sf)
+
+
+def q_classify_fixed_json(spark, sf):
+    return classification_json(fixed_classification(spark, sf))
+
+
+def classification_json(classified: DataFrame) -> DataFrame:
+    """The answer of a classification request, one JSON object: per model its tweets in the order of their ids.
+    At most SEARCH_LIMIT tweets per model, so one row holds them."""
+    pairs = classified.select("model", F.struct("tweet_id", "tweet", F.col("prediction").cast("string").alias("sentiment")).alias("t"))
+    answer = lambda model: F.transform(
+        F.sort_array(F.collect_list(F.when(F.col("model") == model, F.col("t")))),
+        lambda t: F.struct(t["tweet"].alias("tweet"), t["sentiment"].alias("sentiment")))
+    both = pairs.groupBy().agg(answer("batch").alias("batchModelResult"), answer("online").alias("onlineModelResult"))
+    return both.select(F.to_json(F.struct("batchModelResult", "onlineModelResult")).alias("json"))
 
 
 def q_classification_json(spark, sf):
-    """The answer of a classification request; at most SEARCH_LIMIT tweets per model."""
-    c = classify(spark, sf).select("model", F.struct("tweet", F.col("prediction").cast("string").alias("sentiment"))
-                                   .alias("t"))
-    agg = c.groupBy().agg(
-        F.collect_list(F.when(F.col("model") == "batch", F.col("t"))).alias("batchModelResult"),
-        F.collect_list(F.when(F.col("model") == "online", F.col("t"))).alias("onlineModelResult"))
-    return agg.select(F.to_json(F.struct("batchModelResult", "onlineModelResult")).alias("json"))
+    return classification_json(classify(spark, sf))
 
 
 def q_classify_summary(spark, sf):
@@ -522,13 +553,15 @@ def q_pca_wide(spark, sf):
 QUERIES = {
     "train_batch": q_train_batch,
     "predict_batch": q_predict_batch,
-    "predict_batch_checks": q_predict_batch_checks,
+    "predict_batch_untrained": q_predict_batch_untrained,
+    "batch_statistics_fixed": q_batch_statistics_fixed,
+    "classify_fixed": q_classify_fixed,
+    "classify_fixed_json": q_classify_fixed_json,
     "default_pipeline": q_default_pipeline,
     "batch_latest_model": q_batch_latest_model,
     "sgd_three_steps": q_sgd_three_steps,
     "sgd_warm_start_steps": q_sgd_warm_start_steps,
     "statistics_counts": q_statistics_counts,
-    "classify_coverage": q_classify_coverage,
     "batch_statistics": q_batch_statistics,
     "train_sgd": q_train_sgd,
     "train_cv_grid": q_train_cv_grid,

@@ -147,6 +147,21 @@ FROM cum GROUP BY evaluation"""
 _HITS = (f"SELECT tweet_id FROM tweets WHERE lang = 'en' AND NOT is_retweet AND contains(lower(text), "
          f"'{catalog.SEARCH_KEYWORD}') ORDER BY ts DESC, tweet_id LIMIT {rules.SEARCH_LIMIT}")
 
+_FIXED_CLASSES = f"""{BASE},
+hits AS ({_HITS}),
+hit_tweets AS (SELECT tweet_id, text FROM tweets JOIN hits USING (tweet_id)),
+normalized AS (SELECT tweet_id, {O.default_normalized('text')} AS norm FROM hit_tweets),
+tokenized AS (SELECT tweet_id, {O.default_tokens_from_normalized('norm')} AS tokens FROM normalized),
+{JAVA_TF},
+w AS (SELECT CAST(i AS INTEGER) AS idx, (((7 * i) % 13) - 6)::DOUBLE / 1024 AS w FROM range({rules.ONLINE_FEATURES}) t(i)),
+margins AS (SELECT tweet_id, sum(val * w) AS margin FROM counted JOIN w USING (idx) GROUP BY tweet_id),
+classified AS (
+  SELECT 'batch' AS model, tweet_id, text AS tweet, CASE WHEN {_FIXTURE} > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+  FROM hit_tweets
+  UNION ALL
+  SELECT 'online', tweet_id, text, CASE WHEN coalesce(margin, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+  FROM hit_tweets LEFT JOIN margins USING (tweet_id))"""
+
 _CSV_CORPUS = f"""{BASE}
 SELECT text, CASE WHEN {_POS} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM tweets WHERE {_POS} OR {_NEG}"""
 
@@ -256,11 +271,24 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
     "model_versions": f"{BASE},\n{_stream_ranges()}\nSELECT version, rows, CAST({rules.ONLINE_FEATURES} AS INTEGER) AS num_weights FROM versions",
     "statistics_counts": f"{BASE},\n{_stream_ranges()}\nSELECT 'online' AS trainer, version AS model_version, "
                          f"(SELECT count(*) FROM tweets WHERE {_SPLIT} = 'test') AS n FROM versions",
-    "predict_batch_checks": f"{BASE}\nSELECT tweet_id, true AS consistent FROM tweets WHERE {_SPLIT} = 'test'",
-    "default_pipeline": f"{BASE}\nSELECT tweet_id, true AS consistent FROM tweets WHERE {_SPLIT} = 'test'",
+    "predict_batch_untrained": f"""{BASE},
+share AS (SELECT round(avg(label), 9) AS score, avg(label) > 0.5 AS up FROM labelled WHERE {_SPLIT} = 'train')
+SELECT tweet_id, CASE WHEN up THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, score FROM tweets, share WHERE {_SPLIT} = 'test'""",
+    "batch_statistics_fixed": f"""{BASE},
+held AS (SELECT label, {_FIXTURE} AS score FROM labelled WHERE {_SPLIT} = 'test'),
+sc AS (SELECT score, sum((label > 0.5)::INT) AS pos, sum((label <= 0.5)::INT) AS neg,
+              sum((CASE WHEN score > 0.5 THEN label > 0.5 ELSE label <= 0.5 END)::INT) AS hit FROM held GROUP BY score),
+cum AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS cum_pos FROM sc)
+SELECT 'batch' AS trainer, 3::BIGINT AS model_version, 'fixture' AS model,
+       round(sum(neg * (cum_pos - pos * 0.5)) / (sum(pos) * sum(neg)), 9)::DOUBLE AS area_under_roc,
+       round(sum(hit)::DOUBLE / sum(pos + neg), 9) AS accuracy, sum(pos + neg)::BIGINT AS n FROM cum""",
+    "classify_fixed": f"{_FIXED_CLASSES}\nSELECT model, tweet_id, tweet, prediction FROM classified",
+    "classify_fixed_json": f"""{_FIXED_CLASSES},
+listed AS (SELECT model, to_json(list({{'tweet': tweet, 'sentiment': CAST(prediction AS VARCHAR)}} ORDER BY tweet_id)) AS j
+           FROM classified GROUP BY model)
+SELECT '{{"batchModelResult":' || coalesce(max(j) FILTER (model = 'batch'), '[]') || ',"onlineModelResult":'
+       || coalesce(max(j) FILTER (model = 'online'), '[]') || '}}' AS json FROM listed""",
     "batch_latest_model": f"{BASE}\nSELECT tweet_id, 1::BIGINT AS version, true AS same FROM tweets WHERE {_SPLIT} = 'test'",
-    "classify_coverage": f"{BASE},\nhits AS ({_HITS})\nSELECT model, tweet_id, true AS decided FROM hits, "
-                         f"(VALUES ('batch'), ('online')) v(model)",
     "hashing_tf_totals": f"{BASE},\n{TOKENIZED}\nSELECT tweet_id, CAST(len(tokens) AS BIGINT) AS total FROM tokenized",
     "cv_fold_constants": f"""{BASE},
 folded AS (SELECT label, CAST(('0x' || substr(md5(CAST(tweet_id AS VARCHAR)), 1, 8))::BIGINT % 3 AS INTEGER) AS fold FROM labelled)
