@@ -118,6 +118,32 @@ def _arrays(row):
     return y, rows, np.frombuffer(row["idx"], np.int32), np.frombuffer(row["val"], np.float64)
 
 
+def descend(packed: list, weights, iterations: int, step: float, reg_param: float = 0.0, tol: float = rules.SGD_CONVERGENCE_TOL) -> SgdModel:
+    """The same descent inside one task, over packed rows that it holds (``_arrays`` of each): for micro-batches of a
+    bounded size, which two hundred Spark jobs would take longer to schedule than to compute."""
+    import numpy as np
+
+    w = np.asarray(weights, dtype=np.float64)
+    n = sum(len(y) for y, *_ in packed)
+    model, prev = SgdModel(weights=w.tolist(), rows=n), None
+    for i in range(1, iterations + 1 if n else 1):
+        grad = np.zeros(len(w))
+        for y, rows, idx, val in packed:
+            margins = np.bincount(rows, weights=w[idx] * val, minlength=len(y))
+            with np.errstate(over="ignore"):  # exp overflow -> inf -> probability 0, as intended
+                mult = 1.0 / (1.0 + np.exp(-margins)) - y
+            grad += np.bincount(idx, weights=val * mult[rows], minlength=len(w))
+        eta = step / math.sqrt(i)
+        w = w * (1.0 - eta * reg_param) - eta * grad / n
+        model.iterations = i
+        if prev is not None and np.linalg.norm(prev - w) < tol * max(np.linalg.norm(w), 1.0):
+            model.converged = True
+            break
+        prev = w
+    model.weights = w.tolist()
+    return model
+
+
 def train_sgd(df: DataFrame, num_features: int = rules.ONLINE_FEATURES, iterations: int = rules.SGD_ITERATIONS,
               step: float = rules.SGD_STEP, reg_param: float = 0.0, initial_weights: list[float] | None = None,
               tol: float = rules.SGD_CONVERGENCE_TOL, label_col: str = "label", idx_col: str = "idx",

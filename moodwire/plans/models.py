@@ -264,6 +264,21 @@ def q_model_versions(spark, sf):
                                                        F.size("weights").alias("num_weights"))
 
 
+def stateful_trainer(spark, sf):
+    def run():
+        from moodwire.streaming import stateful
+
+        trainer = stateful.StatefulTrainer(spark, idf=corpus_idf(spark, sf))
+        replayed(spark, sf, trainer.run)
+        return trainer
+    return _once(spark, sf, "stateful_trainer", run)
+
+
+def q_model_versions_state(spark, sf):
+    """Versions of the model that lives in the state store."""
+    return stateful_trainer(spark, sf).versions().select("version", "rows", F.size("weights").alias("num_weights"))
+
+
 def q_statistics_counts(spark, sf):
     """What the periodic evaluation wrote: versions and rows scored."""
     return online_trainer(spark, sf).statistics().select("trainer", F.col("model_version").cast("long"), "n")
@@ -571,6 +586,7 @@ QUERIES = {
     "sgd_statistics": q_sgd_statistics,
     "train_online": q_train_online,
     "model_versions": q_model_versions,
+    "model_versions_state": q_model_versions_state,
     "latest_model": q_latest_model,
     "online_statistics": q_online_statistics,
     "statistics_feed": q_statistics_feed,

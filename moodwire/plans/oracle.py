@@ -269,6 +269,7 @@ SELECT batch_id, CAST(sum(pos) OVER (ORDER BY batch_id) AS BIGINT) AS positives,
     "sgd_three_steps": _sgd_sql(3, "0"),
     "sgd_warm_start_steps": _sgd_sql(2, "((7 * j) % 13 - 6) / 100.0"),
     "model_versions": f"{BASE},\n{_stream_ranges()}\nSELECT version, rows, CAST({rules.ONLINE_FEATURES} AS INTEGER) AS num_weights FROM versions",
+    "model_versions_state": f"{BASE},\n{_stream_ranges()}\nSELECT version, rows, CAST({rules.ONLINE_FEATURES} AS INTEGER) AS num_weights FROM versions",
     "statistics_counts": f"{BASE},\n{_stream_ranges()}\nSELECT 'online' AS trainer, version AS model_version, "
                          f"(SELECT count(*) FROM tweets WHERE {_SPLIT} = 'test') AS n FROM versions",
     "predict_batch_untrained": f"""{BASE},

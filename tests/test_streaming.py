@@ -150,6 +150,47 @@ def test_token_transformer_in_a_pipeline(spark, small_dir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_model_in_the_state_store_survives_a_kill_before_the_commit(spark, small_dir, tmp_path):
+    from moodwire.streaming import stateful
+
+    table = online.OnlineTrainer(spark, num_features=100, iterations=4)
+    where = {"weights_path": str(tmp_path / "weights"), "checkpoint": str(tmp_path / "ckpt"), "num_features": 100, "iterations": 4}
+    for path in landed(spark, small_dir, 3):
+        table.run(online.status_stream(spark, path))
+        stateful.StatefulTrainer(spark, **where).run(online.status_stream(spark, path))
+
+    def versions(t):
+        return {r.version: (r.rows, np.array(r.weights)) for r in t.versions().collect()}
+
+    def same(a, b):
+        return a.keys() == b.keys() and all(a[v][0] == b[v][0] and np.allclose(a[v][1], b[v][1], atol=1e-12) for v in a)
+
+    want = versions(table)
+    assert same(versions(stateful.StatefulTrainer(spark, **where)), want)
+    # killed after the last version was written, before its batch was committed
+    last = commits(tmp_path / "ckpt")[-1]
+    for name in (str(last), f".{last}.crc"):
+        (tmp_path / "ckpt" / "commits" / name).unlink(missing_ok=True)
+    again = stateful.StatefulTrainer(spark, **where)
+    again.run(online.status_stream(spark, path))
+    assert last in commits(tmp_path / "ckpt") and same(versions(again), want)
+
+
+def test_models_with_their_own_state(spark, small_dir):
+    from moodwire.streaming import stateful
+
+    *_, path = landed(spark, small_dir, 2)
+    trainer = stateful.StatefulTrainer(spark, num_features=50, iterations=3, model=(F.col("tweet_id") % 2).cast("string"))
+    trainer.run(online.status_stream(spark, path))
+    labelled = online.labelled_stream(tables.tweets(spark, small_dir))
+    got = {r.model: r for r in trainer.versions().collect()}
+    assert set(got) == {"0", "1"} and all(r.version == 0 for r in got.values())
+    for name, r in got.items():
+        plain = online.OnlineTrainer(spark, num_features=50, iterations=3)
+        plain.process(labelled.filter(F.col("tweet_id") % 2 == int(name)), 0)
+        assert np.allclose(plain.versions().first()["weights"], r.weights, atol=1e-12)
+
+
 def test_saved_pipeline_takes_raw_text(spark, small_dir, tmp_path):
     from functools import partial
 
