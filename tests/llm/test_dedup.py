@@ -170,14 +170,37 @@ def near_copies(rnd):
     return rows + [(None, rows[5][1]), (None, rows[9][1]), (None, None), (7, rows[7][1]), (7, rows[20][1])]
 
 
-@pytest.mark.parametrize("chunk", [256, 8])
-def test_jaccard_join_by_hand(frame, rnd, chunk):
-    """A chunk of 8 cuts components over many task groups."""
+@pytest.mark.parametrize("chunk,partners", [(1024, 8), (8, 8), (8, 2), (3, 1)])
+def test_jaccard_join_by_hand(frame, rnd, monkeypatch, chunk, partners):
+    """Small chunks and few partners cut components over many task groups."""
+    monkeypatch.setattr(jaccard_join, "PARTNERS", partners)
     rows = near_copies(rnd)
     got = jaccard_join.jaccard_join(frame(rows), chunk=chunk).select("doc_id", "class_id", "n_links")
     assert sorted(map(tuple, got.collect()), key=str) == join_by_hand(rows)
 
 
+def test_rows_of_a_large_group_of_near_copies_stay_in_proportion(frame, monkeypatch):
+    """What is written of a dense group doubles with it, although its pairs grow fourfold."""
+    words, sizes = [f"w{i}" for i in range(200)], {}
+
+    def counted(df, name):
+        out = written(df, name)
+        sizes[name] = out.count() if not name.startswith("linked-") or name[7:].isdigit() else (
+            out.count(), out.where("node != root").count()) if "root" in out.columns else out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    found = []
+    for m in (300, 600):
+        rows = [(i, " ".join(words[:i % 190] + [f"x{i}"] + words[i % 190 + 1:])) for i in range(m)]
+        got = jaccard_join.jaccard_join(frame(rows), chunk=50).collect()
+        assert {r.class_id for r in got} == {0} and {r.n_links for r in got} == {m - 1}
+        found.append((sizes["linked-within"][0] + sizes["linked-across"][0], sizes["linked-within"][1] + sizes["linked-across"][1]))
+    (rows1, edges1), (rows2, edges2) = found
+    assert edges1 <= 300 + 36 and edges2 <= 600 + 144  # a tree per chunk, an edge per pair of chunks
+    assert rows2 <= 600 * 4
+
+
 def test_drop_near_duplicates(frame, rnd):
     d = frame(near_copies(rnd)[:150])
     got = jaccard_join.drop_near_duplicates(d)
