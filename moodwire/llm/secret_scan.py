@@ -33,7 +33,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 or more characters
 HEX = r"[0-9a-f]{24,}"  # [0-9a-f]+ of 24 or more characters
 LEAST_VALUE = 6
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"  # right after "=", too: settings and addresses; padding ends a run
 RATE = 0.05  # false-discovery rate
 REJECT = 2.576  # two-sided 1 % point of the runs and serial tests
 TOO_EVEN = -3.09  # 0.1 % point of the chi-squared test's lower side

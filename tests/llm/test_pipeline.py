@@ -17,7 +17,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def good_by_hand(rows):
-    """Indices that pass operator 10; at this scale only languages have rows enough for an estimate."""
+    """Indices that pass operator 10; at this scale no source of a language has rows enough for an estimate
+    of its own: languages have one, rare ones are held to the estimate over all languages."""
     vectors, passed = {}, []
     for k, r in enumerate(rows):
         n, chars, symbols, lines, repeats = counts_by_hand(r["text"])
@@ -26,14 +27,13 @@ def good_by_hand(rows):
         passed.append(k)
         vectors[k] = [round(v * quality.UNIT) for v in (
             np.log(chars / n), np.log1p(100 * symbols / chars), np.log1p(100 * lines / n), repeats / n)]
-    assert max(Counter((r["lang"], r["source"]) for r in rows).values()) < quality.LEAST
-    kept = set()
+    assert max(Counter((r["lang"], r["source"]) for r in rows).values()) < quality.LEAST <= len(passed)
+    distances = lambda group: dict(zip(group, mcd_distances([vectors[k] for k in group])))
+    over_all, kept = distances(passed), set()
     for lang in {r["lang"] for r in rows}:
         group = [k for k in passed if rows[k]["lang"] == lang]
-        if len(group) < quality.LEAST:
-            kept |= set(group)
-        else:
-            kept |= {k for k, d in zip(group, mcd_distances([vectors[k] for k in group])) if d <= quality.CUTOFF}
+        found = over_all if len(group) < quality.LEAST else distances(group)
+        kept |= {k for k in group if found[k] <= quality.CUTOFF}
     return sorted(kept)
 
 
