@@ -22,12 +22,10 @@ from pyspark.sql import types as T
 
 from moodwire.llm import tokens
 
-PAIRS = 1_000_000  # compatibility answers remembered per Python worker
-SEGMENTS = 400_000
-LONGEST = 64
+PAIRS = 400_000  # compatibility answers remembered per Python worker, in two generations
+SEGMENT_BYTES = 40 << 20  # remembered segments per Python worker
+WORD_BYTES = 64 << 20  # remembered pre-tokens per Python worker
 NEVER = 1 << 60
-_RUN = re.compile(r"\s\s|^\s|\s\Z")
-_PLAIN = re.compile(r"[!-~]+")
 
 
 class PrefixBpe:
@@ -47,29 +45,21 @@ class PrefixBpe:
         for word, t in vocab.items():
             self.right[t] = self._spine(t, made, 1)
             self.left[t] = self._spine(t, made, 0)
-        byte_of = self._alphabet()
+        byte_of = {c: b for b, c in tokens.byte_alphabet().items()}
         self.text = {t: bytes(byte_of[c] for c in w) for w, t in vocab.items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.text.update((i, c.encode()) for c, i in self.special.items())
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.fits: dict[int, bool] = {}  # by both ids, 20 bits each
-        self.seen: dict[str, tuple] = {}
-        self.plain = re.compile(tokens.ASCII_PRETOKENS[" "])
-        self.words: dict[str, list[int]] = {}
+        self.old_fits: dict[int, bool] = {}
+        self.plain = re.compile(tokens.PRETOKENS[" "])
+        self.seen, self.words = tokens.Memory(SEGMENT_BYTES), tokens.Memory(WORD_BYTES)
         self.found = ahocorasick.Automaton()
         for w, t in vocab.items():
             if t in made or len(w) == 1:  # entries that no merge makes are never a result
                 self.found.add_word(w, (t, len(w)))
         self.found.make_automaton()
 
-    @staticmethod
-    def _alphabet() -> dict[str, int]:
-        """The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the
-        others for the code points from 256 on, in order."""
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
     @staticmethod
     def _spine(t: int, made: dict, side: int) -> list[tuple[int, int]]:
         """The symbols at one border of a token, outermost first, each with the rank of the merge
@@ -105,9 +95,13 @@ class PrefixBpe:
                     pair = before << 20 | t
                     good = fits.get(pair)
                     if good is None:
-                        if len(fits) >= PAIRS:
-                            fits.clear()
-                        good = fits[pair] = self.compatible(before, t)
+                        good = self.old_fits.get(pair)
+                        if good is None:
+                            good = self.compatible(before, t)
+                        if len(fits) >= PAIRS // 2:
+                            self.old_fits, fits = fits, {}
+                            self.fits = fits
+                        fits[pair] = good
                     if not good:
                         continue
                 last[i], size[i] = t, length
@@ -129,50 +123,50 @@ class PrefixBpe:
                     out += self.pretoken(word)
         return out
 
-    def plain_segment(self, text: str) -> list[int]:
-        """``encode`` of printable ASCII after one space: pre-tokens without Unicode classes, remembered."""
-        out = []
-        for w in self.plain.findall(text):
-            ids = self.words.get(w)
-            if ids is None:
-                ids = self.pretoken(w.replace(" ", "\u0120"))
-                if len(self.words) >= SEGMENTS // 2:
-                    self.words = {}
-                if len(w) <= LONGEST:
-                    self.words[w] = ids
-            out += ids
-        return out
-
     def decode(self, ids) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
 
-    def segment(self, piece: str, prefix: str) -> tuple[int, str, bytes]:
-        """(number of ids, decimal ids joined by commas, decoded bytes) of one segment."""
-        plain = prefix and _PLAIN.fullmatch(piece) and "<|" not in piece
-        ids = self.plain_segment(prefix + piece) if plain else self.encode(prefix + piece)
-        value = (len(ids), ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids)))
-        if prefix and len(piece) <= LONGEST:
-            if len(self.seen) >= SEGMENTS:
-                self.seen = {}
-            self.seen[piece] = value
+    def result(self, ids: list[int]) -> tuple[str, bytes]:
+        """(decimal ids joined by commas, decoded bytes)."""
+        return ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids))
+
+    def segment(self, piece: str) -> tuple[str, bytes]:
+        """The result of a segment after a space, or of one that starts with a line feed."""
+        value = self.seen.old.get(piece)
+        if value is None:
+            full = piece if piece[0] == "\n" else " " + piece
+            if tokens.PLAIN.fullmatch(piece) and "<|" not in piece:
+                parts = [self.word(w) for w in self.plain.findall(full)]
+                value = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+            else:
+                value = self.result(self.encode(full))
+        self.seen.keep(piece, value, 160 + len(value[0]) + len(value[1]))
+        return value
+
+    def word(self, word: str) -> tuple[str, bytes]:
+        """The result of one plain pre-token, remembered."""
+        value = self.words.young.get(word)
+        if value is None:
+            value = self.words.old.get(word)
+            if value is None:
+                value = self.result(self.pretoken(tokens.in_alphabet(word)))
+            self.words.keep(word, value, 160 + len(value[0]) + len(value[1]))
         return value
 
-    def document(self, text: str) -> list[tuple[int, str, bytes]]:
+    def document(self, text: str) -> list[tuple[str, bytes]]:
         """Segment results whose concatenation is the document's (see ``tokens`` on segments)."""
         if not text:
             return []
-        if _RUN.search(text):
-            return [self.segment(text, "")]
-        first, *rest = text.split(" ")
-        seen = self.seen
-        out = [self.segment(first, "")]
-        for p in rest:
-            v = seen.get(p)
-            if v is None:
-                v = self.segment(p, " ")
-                seen = self.seen
-            out.append(v)
-        return out
+        pieces = tokens.cut(text, " ")
+        if pieces is None:
+            return [self.result(self.encode(text))]
+        out = [self.result(self.encode(pieces.pop(0)))]
+        found = list(map(self.seen.young.get, pieces))
+        if None in found:
+            for k, v in enumerate(found):
+                if v is None:
+                    found[k] = self.seen.young.get(pieces[k]) or self.segment(pieces[k])
+        return out + found
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -191,12 +185,12 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             cols = [[], [], []]
             for value in batch.column(1):
                 parts = bpe.document(value.as_py() or "")
-                joined = ",".join([p[1] for p in parts if p[0]])
-                decoded = b"".join([p[2] for p in parts]).decode("utf-8", "replace")
+                joined = ",".join([p[0] for p in parts])
+                decoded = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
                 if digests:
-                    row = (sum([p[0] for p in parts]), sha(joined.encode()), sha(decoded.encode()))
+                    row = (joined.count(",") + 1 if joined else 0, sha(joined.encode()), sha(decoded.encode()))
                 else:
-                    row = (len(joined) and joined.count(",") + 1, [int(x) for x in joined.split(",")] if joined else [], decoded)
+                    row = (0, [int(x) for x in joined.split(",")] if joined else [], decoded)
                 for c, v in zip(cols, row):
                     c.append(v)
             out = ([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())] if digests

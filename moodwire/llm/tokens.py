@@ -1,9 +1,12 @@
 """Library tokenization of whole texts inside tasks, shared by token counts and packing.
 
-A segment is a run between single spaces. Both vocabularies start a new pre-token before a space that
-stands between two non-space characters, so a text's ids are the concatenation of its segments' ids,
-and a segment's ids can be remembered. Texts with two white-space characters in a row (where that does
-not hold) go to the library whole. The memory is bounded; what it holds never changes a result.
+A segment is what stands between single spaces; a single line feed between other characters starts one
+as well. Both vocabularies begin a new pre-token there, so a text's ids are the concatenation of its
+segments' ids, and these can be remembered. Where the vocabulary keeps white space, texts with two
+white-space characters in a row (where that does not hold) go to the library whole. Segments of ASCII
+marks and Latin letters are cut into pre-tokens here, and those are remembered on a second level: words
+are far fewer than words with their marks. Both memories are bounded in bytes and drop what was not
+asked for lately; what they hold never changes a result.
 """
 
 from __future__ import annotations
@@ -12,19 +15,70 @@ import re
 import sys
 import types
 
-MEMORY = 400_000  # segments remembered per Python worker, in two generations
-LONGEST = 64  # characters; longer segments are not remembered
+SEGMENT_BYTES = 32 << 20  # remembered segments per Python worker
+WORD_BYTES = 64 << 20  # remembered pre-tokens per Python worker
+LONGEST = 64  # characters; longer segments and pre-tokens are not remembered
 
-_RUN = re.compile(r"\s\s|^\s|\s\Z")
-_PLAIN = re.compile(r"[!-~]+")  # printable ASCII: pre-tokens are told apart without Unicode classes
+# Letters whose class, lower case and normal form are the same in every Unicode version: ASCII, Latin-1
+# and Latin Extended-A but for the dotted I and the long s.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e"
+RUN = re.compile(r"\s\s|^\s|\s\Z")
+PLAIN = re.compile(rf"[!-~\n{LETTERS}]+")  # pre-tokens are told apart without further Unicode classes
 
-# The two vocabularies' pre-token patterns, for ASCII.
-ASCII_PRETOKENS = {
-    " ": r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+",
-    "": r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+",
+# The two vocabularies' pre-token patterns, for plain segments.
+PRETOKENS = {
+    " ": rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\n",
+    "": rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+",
 }
 
 
+class Memory:
+    """Answers by string in two generations of at most half of ``limit`` bytes each: when the young
+    one is full it becomes the old one, and what is asked for again moves back."""
+
+    ENTRY = 110  # bytes of a dictionary entry beside its key and value
+
+    def __init__(self, limit: int):
+        self.half, self.size = limit // 2, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def keep(self, key: str, value, value_bytes: int):
+        if len(key) > LONGEST:
+            return
+        cost = sys.getsizeof(key) + value_bytes + self.ENTRY
+        if self.size + cost > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[key] = value
+        self.size += cost
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The alphabet of byte-level vocabularies: printable bytes stand for themselves, the others for
+    the code points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_ALPHABET = byte_alphabet()
+
+
+def in_alphabet(word: str) -> str:
+    """A pre-token's UTF-8 bytes in the byte alphabet."""
+    if word.isascii():
+        return word.replace(" ", _ALPHABET[32]).replace("\n", _ALPHABET[10])
+    return "".join([_ALPHABET[b] for b in word.encode()])
+
+
+def cut(text: str, prefix: str) -> list[str] | None:
+    """Segments of a text; None where it has to be taken whole. With a prefix the first segment
+    has none, nor has one that starts with a line feed."""
+    if not prefix:  # white space only separates
+        return text.replace("\n", " ").split(" ")
+    return None if RUN.search(text) else text.replace("\n", " \n").split(" ")
+
+
 def worker_state(key, make):
     """``make()`` once per Python worker: task closures are pickled by value, so a plain module
     global would start anew with every task."""
@@ -52,9 +106,8 @@ class SegmentEncoder:
 
     def __init__(self, path: str, leading_space: bool):
         self.tokenizer, self.prefix = library(path), " " if leading_space else ""
-        self.pattern = re.compile(ASCII_PRETOKENS[self.prefix])
-        self.seen: dict[str, bytes] = {}  # the young generation
-        self.old: dict[str, bytes] = {}
+        self.pattern = re.compile(PRETOKENS[self.prefix])
+        self.seen, self.words = Memory(SEGMENT_BYTES), Memory(WORD_BYTES)
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -64,37 +117,49 @@ class SegmentEncoder:
     def segments(self, text: str) -> list[bytes]:
         if not text:
             return []
-        if _RUN.search(text):
+        pieces = cut(text, self.prefix)
+        if pieces is None:
             return [self.whole(text)]
-        pieces, head = text.split(" "), []
-        if self.prefix:  # the space belongs to the piece after it; the first piece has none
-            head, pieces = [self.whole(pieces[0])], pieces[1:]
-        seen = self.seen
-        try:
-            return head + [seen[p] for p in pieces]
-        except KeyError:
-            new = self._learn({p for p in pieces if p not in seen})
-            return head + [new[p] if p in new else seen[p] for p in pieces]
+        head = [self.whole(pieces.pop(0))] if self.prefix else []
+        found = list(map(self.seen.young.get, pieces))
+        if None in found:
+            new = self._learn({p for p, v in zip(pieces, found) if v is None})
+            found = [new[p] if v is None else v for p, v in zip(pieces, found)]
+        return head + found
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Segments that the young generation lacks: from the old one; plain ones by the library's
-        model per pre-token; the others by the whole library."""
+        """Segments that the young generation lacks: from the old one; plain ones by their
+        pre-tokens; the others by the whole library."""
         import numpy as np
 
-        new = {p: self.old[p] for p in pieces if p in self.old}
-        pieces = pieces.difference(new)
-        rest = [p for p in pieces if not _PLAIN.fullmatch(p) or "<|" in p]
-        found = self.tokenizer.encode_batch_fast([self.prefix + p for p in rest], add_special_tokens=False)
-        new.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
-        tokenize = self.tokenizer.model.tokenize
-        for p in pieces.difference(rest):
-            words = self.pattern.findall(" " + p if self.prefix else p.lower())
-            new[p] = b"".join([t.id.to_bytes(4, "little") for w in words for t in tokenize(w.replace(" ", "\u0120"))])
-        if len(self.seen) + len(new) > MEMORY // 2:
-            self.old, self.seen = self.seen, {}
-        self.seen.update((p, v) for p, v in new.items() if len(p) <= LONGEST)
+        old, new, rest = self.seen.old, {}, []
+        for p in pieces:
+            if p in old:
+                new[p] = old[p]
+            elif PLAIN.fullmatch(p) and "<|" not in p:
+                new[p] = self._plain(p)
+            else:
+                rest.append(p)
+        full = [p if p.startswith("\n") else self.prefix + p for p in rest]
+        encoded = self.tokenizer.encode_batch_fast(full, add_special_tokens=False) if rest else []
+        new.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(rest, encoded))
+        for p, v in new.items():
+            self.seen.keep(p, v, sys.getsizeof(v))
         return new
 
+    def _plain(self, piece: str) -> bytes:
+        words, out = self.words, []
+        for w in self.pattern.findall(piece if piece[0] == "\n" else " " + piece) if self.prefix \
+                else self.pattern.findall(piece.lower()):
+            v = words.young.get(w)
+            if v is None:
+                v = words.old.get(w)
+                if v is None:
+                    v = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(in_alphabet(w))])
+                words.keep(w, v, sys.getsizeof(v))
+            out.append(v)
+        return b"".join(out)
+
     def ids(self, text: str) -> bytes:
         return b"".join(self.segments(text))
 
