@@ -15,8 +15,8 @@ import re
 import sys
 import types
 
-SEGMENT_BYTES = 32 << 20  # remembered segments per Python worker
-WORD_BYTES = 64 << 20  # remembered pre-tokens per Python worker
+SEGMENT_BYTES = 64 << 20  # remembered segments per Python worker
+WORD_BYTES = 96 << 20  # remembered pre-tokens per Python worker
 LONGEST = 64  # characters; longer segments and pre-tokens are not remembered
 
 # Letters whose class, lower case and normal form are the same in every Unicode version: ASCII, Latin-1
