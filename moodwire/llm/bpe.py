@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from moodwire.llm import tokens
 
 PAIRS = 400_000  # compatibility answers remembered per Python worker, in two generations
-SEGMENT_BYTES = 40 << 20  # remembered segments per Python worker
-WORD_BYTES = 64 << 20  # remembered pre-tokens per Python worker
+SEGMENT_BYTES = 64 << 20  # remembered segments per Python worker
+WORD_BYTES = 96 << 20  # remembered pre-tokens per Python worker
 NEVER = 1 << 60
 
 
@@ -132,15 +132,18 @@ class PrefixBpe:
 
     def segment(self, piece: str) -> tuple[str, bytes]:
         """The result of a segment after a space, or of one that starts with a line feed."""
-        value = self.seen.old.get(piece)
+        value, known = self.seen.old.get(piece), True
         if value is None:
             full = piece if piece[0] == "\n" else " " + piece
             if tokens.PLAIN.fullmatch(piece) and "<|" not in piece:
-                parts = [self.word(w) for w in self.plain.findall(full)]
+                words = self.plain.findall(full)
+                known = all([w in self.words.young or w in self.words.old for w in words])  # else not worth remembering yet
+                parts = [self.word(w) for w in words]
                 value = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
             else:
                 value = self.result(self.encode(full))
-        self.seen.keep(piece, value, 160 + len(value[0]) + len(value[1]))
+        if known:
+            self.seen.keep(piece, value, 160 + len(value[0]) + len(value[1]))
         return value
 
     def word(self, word: str) -> tuple[str, bytes]:
