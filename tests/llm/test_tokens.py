@@ -25,6 +25,31 @@ def test_segments_equal_the_library(rnd, name, space):
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("limit", [0, 1500, 20_000])
+def test_memories_that_overflow_change_nothing(rnd, monkeypatch, limit):
+    import numpy as np
+
+    monkeypatch.setattr(bpe, "PAIRS", 8)
+    words = ["straße", "Élan,", "d'été", "x1", "don't", "naïve.", "ſ", "İstanbul", "ĳs", "'ſ", "a\nb", "漢", "Čeština;", "<|endoftext|>y"]
+    made = texts(rnd, 60) + [" ".join(rnd.choices(words, k=30)) for _ in range(40)]
+    for name, space in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        enc, lib = tokens.SegmentEncoder(path, space), tokens.library(path)
+        enc.seen, enc.words = tokens.Memory(limit), tokens.Memory(limit)
+        for t in made:
+            assert np.frombuffer(enc.ids(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+        assert enc.seen.size <= max(limit // 2, 400) and enc.words.size <= max(limit // 2, 400)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, lib = bpe.PrefixBpe(path), tokens.library(path)
+    own.seen, own.words = tokens.Memory(limit), tokens.Memory(limit)
+    for t in made:
+        ids = lib.encode(t, add_special_tokens=False).ids
+        parts = own.document(t)
+        assert ",".join(p[0] for p in parts) == ",".join(map(str, ids)), t
+        assert b"".join(p[1] for p in parts).decode("utf-8", "replace") == lib.decode(ids, skip_special_tokens=False)
+    assert len(own.fits) <= 8 and len(own.old_fits) <= 8
+
+
 def test_chunked_count_equals_the_library(rnd):
     lib = tokens.library(public_tokenizers.path("byte_bpe_50k.json"))
     for t in texts(rnd, 30, 2000):
