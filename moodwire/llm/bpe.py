@@ -16,6 +16,7 @@ empty table gives no rows; further columns of the input are not read.
 from __future__ import annotations
 
 import re
+from array import array
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -23,11 +24,37 @@ from pyspark.sql import types as T
 from moodwire.llm import tokens
 
 PAIRS = 400_000  # compatibility answers remembered per Python worker, in two generations
-SEGMENT_BYTES = 64 << 20  # remembered segments per Python worker
-WORD_BYTES = 96 << 20  # remembered pre-tokens per Python worker
+SEGMENT_BYTES = 256 << 20  # remembered segments per Python worker, pre-tokens after a space among them
+WORD_BYTES = 8 << 20  # remembered pre-tokens without a space per Python worker
+BLOCK = 1 << 18  # ids written out at a time
 NEVER = 1 << 60
 
 
+class Spelling:
+    """A string of bytes per id, laid out for many ids at once."""
+
+    def __init__(self, strings: dict[int, bytes]):
+        import numpy as np
+
+        in_order = [strings.get(t, b"") for t in range(max(strings) + 1)]
+        self.data = np.frombuffer(b"".join(in_order), np.uint8)
+        self.length = np.array(list(map(len, in_order)), np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def join(self, ids) -> bytes:
+        """The strings of an array of ids, one after the other."""
+        import numpy as np
+
+        out = []
+        for a in range(0, len(ids), BLOCK):
+            part = ids[a : a + BLOCK]
+            length = self.length[part]
+            ends = np.cumsum(length)
+            at = np.arange(ends[-1]) + np.repeat(self.start[part] - ends + length, length)
+            out.append(self.data[at].tobytes())
+        return b"".join(out)
+
+
 class PrefixBpe:
     def __init__(self, path: str):
         import json
@@ -52,7 +79,9 @@ class PrefixBpe:
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.fits: dict[int, bool] = {}  # by both ids, 20 bits each
         self.old_fits: dict[int, bool] = {}
-        self.plain = re.compile(tokens.PRETOKENS[" "])
+        self.spelled = Spelling(self.text)
+        self.decimals = Spelling({t: b"%d," % t for t in self.text})
+        self.plain, self.one = re.compile(tokens.PRETOKENS[" "]), re.compile(f"[{tokens.LETTERS}]+")
         self.seen, self.words = tokens.Memory(SEGMENT_BYTES), tokens.Memory(WORD_BYTES)
         self.found = ahocorasick.Automaton()
         for w, t in vocab.items():
@@ -123,53 +152,56 @@ class PrefixBpe:
                     out += self.pretoken(word)
         return out
 
-    def decode(self, ids) -> str:
-        return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
-
-    def result(self, ids: list[int]) -> tuple[str, bytes]:
-        """(decimal ids joined by commas, decoded bytes)."""
-        return ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids))
-
-    def segment(self, piece: str) -> tuple[str, bytes]:
-        """The result of a segment after a space, or of one that starts with a line feed."""
-        value, known = self.seen.old.get(piece), True
+    def segment(self, piece: str) -> bytes:
+        """Packed ids of a segment after a space, or of one that starts with a line feed."""
+        value = self.seen.old.get(piece)
         if value is None:
-            full = piece if piece[0] == "\n" else " " + piece
+            if self.one.fullmatch(piece):
+                return self.word(self.seen, piece, " ")
             if tokens.PLAIN.fullmatch(piece) and "<|" not in piece:
-                words = self.plain.findall(full)
-                known = all([w in self.words.young or w in self.words.old for w in words])  # else not worth remembering yet
-                parts = [self.word(w) for w in words]
-                value = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+                parts, known = [], True
+                for w in self.plain.findall(piece if piece[0] == "\n" else " " + piece):
+                    memory, key, space = (self.seen, w[1:], " ") if w[0] == " " else (self.words, w, "")
+                    part = memory.young.get(key) or memory.old.get(key)
+                    if part is None:
+                        part, known = self.word(memory, key, space), False
+                    parts.append(part)
+                value = b"".join(parts)
+                if not known:  # not worth remembering yet
+                    return value
             else:
-                value = self.result(self.encode(full))
-        if known:
-            self.seen.keep(piece, value, 160 + len(value[0]) + len(value[1]))
+                value = packed(self.encode(piece if piece[0] == "\n" else " " + piece))
+        self.seen.keep(piece, value, 33 + len(value))
         return value
 
-    def word(self, word: str) -> tuple[str, bytes]:
-        """The result of one plain pre-token, remembered."""
-        value = self.words.young.get(word)
-        if value is None:
-            value = self.words.old.get(word)
-            if value is None:
-                value = self.result(self.pretoken(tokens.in_alphabet(word)))
-            self.words.keep(word, value, 160 + len(value[0]) + len(value[1]))
+    def word(self, memory: tokens.Memory, key: str, space: str) -> bytes:
+        """Packed ids of one plain pre-token, remembered without its space."""
+        value = packed(self.pretoken(tokens.in_alphabet(space + key)))
+        memory.keep(key, value, 33 + len(value))
         return value
 
-    def document(self, text: str) -> list[tuple[str, bytes]]:
-        """Segment results whose concatenation is the document's (see ``tokens`` on segments)."""
-        if not text:
-            return []
+    def document(self, text: str):
+        """A text's ids as an array; they are the concatenation of its segments' (see ``tokens``)."""
+        import numpy as np
+
         pieces = tokens.cut(text, " ")
-        if pieces is None:
-            return [self.result(self.encode(text))]
-        out = [self.result(self.encode(pieces.pop(0)))]
+        if not text or pieces is None:
+            return np.array(self.encode(text), np.uint32)
+        out = [packed(self.encode(pieces.pop(0)))]
         found = list(map(self.seen.young.get, pieces))
         if None in found:
             for k, v in enumerate(found):
                 if v is None:
                     found[k] = self.seen.young.get(pieces[k]) or self.segment(pieces[k])
-        return out + found
+        return np.frombuffer(b"".join(out + found), np.uint32)
+
+    def decode(self, ids) -> str:
+        """The text of an array of ids."""
+        return self.spelled.join(ids).decode("utf-8", "replace")
+
+
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -187,13 +219,12 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         for batch in batches:
             cols = [[], [], []]
             for value in batch.column(1):
-                parts = bpe.document(value.as_py() or "")
-                joined = ",".join([p[0] for p in parts])
-                decoded = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
+                ids = bpe.document(value.as_py() or "")
+                decoded = bpe.decode(ids)
                 if digests:
-                    row = (joined.count(",") + 1 if joined else 0, sha(joined.encode()), sha(decoded.encode()))
+                    row = (len(ids), sha(bpe.decimals.join(ids)[:-1]), sha(decoded.encode()))
                 else:
-                    row = (0, [int(x) for x in joined.split(",")] if joined else [], decoded)
+                    row = (0, ids, decoded)
                 for c, v in zip(cols, row):
                     c.append(v)
             out = ([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())] if digests
