@@ -180,7 +180,7 @@ class PrefixBpe:
         memory.keep(key, value, 33 + len(value))
         return value
 
-    def document(self, text: str):
+    def ids(self, text: str):
         """A text's ids as an array; they are the concatenation of its segments' (see ``tokens``)."""
         import numpy as np
 
@@ -195,6 +195,11 @@ class PrefixBpe:
                     found[k] = self.seen.young.get(pieces[k]) or self.segment(pieces[k])
         return np.frombuffer(b"".join(out + found), np.uint32)
 
+    def document(self, text: str) -> list[tuple[str, bytes]]:
+        """[(decimal ids joined by commas, decoded bytes)] of a text; nothing of an empty one."""
+        ids = self.ids(text)
+        return [(self.decimals.join(ids)[:-1].decode(), self.spelled.join(ids))] if len(ids) else []
+
     def decode(self, ids) -> str:
         """The text of an array of ids."""
         return self.spelled.join(ids).decode("utf-8", "replace")
@@ -219,7 +224,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         for batch in batches:
             cols = [[], [], []]
             for value in batch.column(1):
-                ids = bpe.document(value.as_py() or "")
+                ids = bpe.ids(value.as_py() or "")
                 decoded = bpe.decode(ids)
                 if digests:
                     row = (len(ids), sha(bpe.decimals.join(ids)[:-1]), sha(decoded.encode()))
