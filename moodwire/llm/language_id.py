@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE = 400  # labelled texts per language that the classifiers are fitted on
+SALTS = 32  # parts of a language that are ranked apart
 FEATURES = 1 << 15
 EPOCHS = 120
 AMBIGUOUS = 0.2  # margin between the best two languages' scores
@@ -134,9 +135,12 @@ def training_sample(labelled: DataFrame, text_col: str, lang_col: str, per_langu
     hash. What reaches the driver is bounded: ``features`` numbers for each of them."""
     d = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")  # limited in every task before the shuffle
-    chosen = (d.select("lang", "h").distinct().withColumn("r", F.row_number().over(first))
-              .where(F.col("r") <= per_language).select("lang", "h"))
+    # ranked per language and salt first, so that however many rows a language has, at most SALTS * per_language meet
+    salted = Window.partitionBy("lang", "salt").orderBy("h")
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = (d.select("lang", "h").distinct().withColumn("salt", F.pmod("h", F.lit(SALTS)))
+              .withColumn("r", F.row_number().over(salted)).where(F.col("r") <= per_language)
+              .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language).select("lang", "h"))
     texts = d.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def count(batches):

@@ -70,6 +70,43 @@ def test_language_edge_rows(spark):
     assert {r.lang_pred for r in language_id.language_id(two).collect()} <= {"en", "de"}
 
 
+def test_language_sample_is_the_least_by_hash(spark):
+    """Repeated rows once, a hot language and many rare ones, clashing column names; the fit and its decoding hold."""
+    rows = [(i, f"wort {i % 700} hier", "hot", 1, 1, 1) for i in range(2100)] + [(9000 + i, f"text {i}", f"l{i % 40}", 1, 1, 1) for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, h int, salt int, r int")
+    hashes = d.select("lang", "text", F.xxhash64("text").alias("x")).distinct().collect()
+    want = {}
+    for r in hashes:
+        want.setdefault(r.lang, []).append((r.x, r.text))
+    got = Counter()
+    sample = language_id.training_sample(d, "text", "lang", per_language=50)
+    expect = [(lang, language_id.vector(t, language_id.FEATURES)) for lang in sorted(want) for _, t in sorted(want[lang])[:50]]
+    assert len(sample) == len(expect) == 50 + 200
+    for (at, x, lang), (name, (used, values)) in zip(sample, expect):
+        got[lang] += 1
+        assert lang == name and list(at) == used.tolist() and np.allclose(x, values)
+    assert got["hot"] == 50 and len(got) == 41
+
+
+def test_decode_by_hand(rnd):
+    """Loss of every codeword in plain Python: the nearest wins, the score is its share."""
+    import math
+
+    code = language_id.codewords(list("abcde"))
+    trust = np.array([rnd.random() for _ in range(code.shape[1])])
+    model = {"languages": list("abcde"), "code": code, "trust": trust / trust.sum()}
+    for _ in range(200):
+        margins = np.array([rnd.uniform(-5, 5) for _ in range(code.shape[1])])
+        loss = [sum(t * math.log(1 + math.exp(-c * m)) for t, c, m in zip(model["trust"], word, margins)) for word in code.tolist()]
+        share = [math.exp(-4 * x) for x in loss]
+        best = min(range(5), key=lambda k: loss[k])
+        lang, score, unsure = language_id.decode(margins, model)
+        rest = sorted(share)[-2]
+        assert lang == "abcde"[best] and abs(score - share[best] / sum(share)) < 1e-6
+        gap = (share[best] - rest) / sum(share)
+        assert unsure == (gap < language_id.AMBIGUOUS) or abs(gap - language_id.AMBIGUOUS) < 1e-6
+
+
 def test_codewords_are_distinct_and_far():
     for k in (2, 4, 7, 12):
         code = language_id.codewords([str(i) for i in range(k)])
