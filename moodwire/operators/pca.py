@@ -50,35 +50,35 @@ def fit(df: DataFrame, num_features: int, k: int = 3, oversample: int = 10, max_
               .mapInArrow(sgd._pack_batches(label, "idx", "val"), sgd.PACKED_SCHEMA))
     data = packed.rdd.map(sgd._arrays).persist(StorageLevel.MEMORY_AND_DISK)
     context = df.sparkSession.sparkContext
+    tasks = sgd.per_core(data)  # a partial product has the size of the basis: one per core, whatever the input
     width = min(k + oversample, num_features)
     k = min(k, num_features)
     try:
         def moments(parts):
-            total, n = np.zeros(num_features), 0
-            for y, _, idx, val in parts:
+            total = np.zeros(num_features)
+            for _, _, idx, val in parts:
                 total += np.bincount(idx, weights=val, minlength=num_features)
-                n += len(y)
-            yield total, n
+            yield total
 
-        parts = data.getNumPartitions()  # none for a table that is known to be empty
-        total, m = data.mapPartitions(moments).treeReduce(_add) if parts else (np.zeros(num_features), 0)
+        m = int(data.map(lambda p: len(p[1])).sum())  # packs and keeps the rows, a task per partition
         if m == 0:
             return PcaModel([], [], [0.0] * num_features, 0, 0)
-        mean = total / m
+        mean = tasks.mapPartitions(moments).treeReduce(np.add) / m
 
         def times_covariance(q):
-            shared = context.broadcast(q)
+            shared = context.broadcast(np.ascontiguousarray(q.T))
 
             def partial(parts, shared=shared):
                 basis = shared.value
                 out = np.zeros_like(basis)
-                for y, rows, idx, val in parts:
-                    for j in range(basis.shape[1]):  # a column at a time: buffers of the size of the non-zeros
-                        along = np.bincount(rows, weights=val * basis[idx, j], minlength=len(y))
-                        out[:, j] += np.bincount(idx, weights=val * along[rows], minlength=num_features)
+                for _, lengths, idx, val in parts:
+                    at = idx.astype(np.intp)
+                    for j in range(basis.shape[0]):  # a direction at a time: buffers of the size of the non-zeros
+                        along = sgd._row_sums(basis[j][at] * val, lengths)
+                        out[j] += np.bincount(at, weights=val * np.repeat(along, lengths), minlength=num_features)
                 yield (out,)
 
-            product = data.mapPartitions(partial).treeReduce(_add)[0]
+            product = tasks.mapPartitions(partial).treeReduce(_add)[0].T
             shared.unpersist()
             return product / m - np.outer(mean, mean @ q)
 
