@@ -8,15 +8,11 @@ from moodwire.plans import models
 from moodwire.sources import tables
 
 
-def test_rows_of_few_row_groups_are_dealt_to_all_cores(spark, tmp_path):
-    """A file of more splits than cores, whose rows all lie in one: its empty splits do not count."""
+def test_rows_of_few_row_groups_are_dealt_to_all_cores(spark):
+    """More splits than cores, whose rows all lie in one: the empty splits do not count."""
     cores = spark.sparkContext.defaultParallelism
-    path = str(tmp_path / "t")
-    spark.range(2000).select(F.col("id").alias("doc_id")).coalesce(1).write.parquet(path)
-    for k in range(2 * cores):
-        spark.range(0).select(F.col("id").alias("doc_id")).coalesce(1).write.mode("append").parquet(path)
-    many = spark.read.parquet(path).union(spark.range(0, 0, 1, 4 * cores).select(F.col("id").alias("doc_id")))
-    assert many.rdd.getNumPartitions() >= cores
+    splits = spark.sparkContext.parallelize(range(2 * cores), 2 * cores)
+    many = spark.createDataFrame(splits.flatMap(lambda i: [(j,) for j in range(2000)] if i == 0 else []), "doc_id long")
     spread = tables.balance_partitions(many)
     rows = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
     assert len(rows) >= cores and sum(rows) == 2000 and max(rows) <= 4 * sum(rows) / len(rows)
