@@ -40,7 +40,7 @@ def test_partial_results_are_one_per_core(spark):
     assert sgd.per_core(spark.sparkContext.parallelize(range(100), 5 * cores)).getNumPartitions() == cores
     rows = spark.range(0, 60, 1, 5 * cores).select(
         F.array((F.col("id") % 3).cast("int")).alias("idx"), F.array(F.lit(1.0)).alias("val"))
-    assert pca.fit(rows, 4, 2).rows == 60
+    assert pca.fit(rows, 4, 2, max_passes=2).rows == 60
 
 
 def test_tokens_and_texts_are_not_kept(spark, small_dir):
