@@ -64,6 +64,12 @@ def labelled_stream(stream: DataFrame) -> DataFrame:
     return corpus.with_distant_label(corpus.english_originals(corpus.tracked(stream)))
 
 
+def spread(labelled: DataFrame) -> DataFrame:
+    """The rows of a micro-batch dealt to all cores before the text chain: what arrived in one file, or lies in one
+    row group of it, would be cleaned and hashed by one task."""
+    return labelled.repartition(labelled.sparkSession.sparkContext.defaultParallelism)
+
+
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """The table at ``path``; None if nothing was written there yet. Any other failure to read raises:
     taken for an empty table it would start the caps or the weights anew."""
@@ -245,7 +251,7 @@ class OnlineTrainer:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Train on one micro-batch from version ``batch_id - 1`` and write version ``batch_id``."""
         start = self.weights_before(batch_id)
-        data = self.features(batch, self.idf).select("label", "idx", "val")
+        data = self.features(spread(batch), self.idf).select("label", "idx", "val")
         model = sgd.train_sgd(data, self.num_features, self.iterations, self.step, self.reg_param, start)
         if model.rows == 0:
             return  # empty batch: no new version

@@ -59,3 +59,16 @@ def test_chain_runs_in_batches_of_rows(spark):
     df = spark.createDataFrame([("the boy's cars :)",)], "t string").select(tokens.default_tokens("t"))
     assert "lambdafunction" not in df._jdf.queryExecution().toString()
     assert df.first()[0] == ["the", "boy", "car", "good", "the boy", "boy car", "car good"]
+
+
+def test_tokenizers_of_a_chain_are_joined_in_one_task_function(spark):
+    """Equal to the arrays joined by Spark, nulls and slices too; the text is normalized and stemmed in one pass."""
+    texts = pa.array(["q", "the cars. a-b", None, "", "  ", "..", "é1 .b"])
+    want = [None if u is None else u + g for u, g in zip(batches.unigrams(texts).to_pylist(), batches.ngrams(texts, 2).to_pylist())]
+    assert batches.joined([batches.unigrams(texts), batches.ngrams(texts, 2)]).to_pylist() == want
+    part = texts.slice(1, 4)
+    assert batches.joined([batches.unigrams(texts).slice(1, 4), batches.ngrams(part, 2)]).to_pylist() == want[1:5]
+    assert batches.joined([batches.unigrams(texts.slice(0, 0)), batches.ngrams(texts.slice(0, 0), 2)]).to_pylist() == []
+    plan = spark.createDataFrame([("a b",)], "t string").select(
+        tokens.default_tokens("t").alias("made"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_stem_texts(") == 1 and "concat(" not in plan

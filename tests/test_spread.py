@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from moodwire.operators import pca, sgd
 from moodwire.plans import models
 from moodwire.sources import tables
+from moodwire.streaming import online
 
 
 def test_rows_of_few_row_groups_are_dealt_to_all_cores(spark):
@@ -49,3 +50,33 @@ def test_tokens_and_texts_are_not_kept(spark, small_dir):
     assert not models.split_corpus(spark, small_dir).is_cached and not models.java_features(spark, small_dir).is_cached
     assert kept.is_cached and set(kept.columns) == {"tweet_id", "label", "split", "features"}
     models.forget()
+
+
+def test_tasks_of_the_text_chain_hold_a_bounded_number_of_rows(spark):
+    """Even splits of many rows are dealt where a bound is given, few rows to a task per core."""
+    cores = spark.sparkContext.defaultParallelism
+    even = spark.range(0, 16_000 * cores, 1, cores)
+    assert tables.balance_partitions(even) is even
+    spread = tables.balance_partitions(even, 1000)
+    rows = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 16_000 * cores and len(rows) == 16 * cores and max(rows) <= 1100
+    assert tables.balance_partitions(spark.range(0, 10, 1, 1), 1000).rdd.getNumPartitions() == cores
+
+
+def test_a_step_of_descent_is_one_stage(spark):
+    """Short partial gradients are added by the driver: no second stage per step. Long ones are added by executors."""
+    assert sgd.tree_depth(12, 1500) == 1 and sgd.tree_depth(1000, 1 << 18) == 2
+    rows = spark.range(0, 400, 1, 8).select((F.col("id") % 2).cast("double").alias("label"),
+                                            F.array((F.col("id") % 3).cast("int")).alias("idx"), F.array(F.lit(1.0)).alias("val"))
+    sc = spark.sparkContext
+    sc.setJobGroup("descent", "steps")
+    sgd.train_sgd(rows, 3, iterations=4, tol=0.0)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    assert max(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("descent")) == 1
+
+
+def test_rows_of_a_micro_batch_in_one_file_are_dealt(spark):
+    one = spark.range(0, 1000, 1, 1)
+    rows = [r["count"] for r in online.spread(one).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) == spark.sparkContext.defaultParallelism and sum(rows) == 1000
