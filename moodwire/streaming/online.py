@@ -235,7 +235,7 @@ class OnlineTrainer:
         return list(rows[0]["weights"]) if rows else [0.0] * self.num_features
 
     def features(self, batch: DataFrame, idf: list[float] | None) -> DataFrame:
-        tf = features.with_java_tf(corpus.with_tokens(batch), num_features=self.num_features)
+        tf = features.with_text_java_tf(batch, num_features=self.num_features)
         return features.with_tf_idf(tf, idf) if idf is not None else tf
 
     def _evaluation_due(self, batch_id: int) -> bool:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from moodwire.functions import rules
-from moodwire.operators import corpus, features, sgd
+from moodwire.operators import features, sgd
 from moodwire.session import work_path
 from moodwire.streaming.evaluation import put, table_or_empty
 from moodwire.streaming.online import labelled_stream, spread
@@ -48,7 +48,7 @@ class StatefulTrainer:
 
     def versions_stream(self, labelled: DataFrame) -> DataFrame:
         """Labelled tweets -> a row per model and micro-batch: the next version."""
-        tf = features.with_java_tf(corpus.with_tokens(spread(labelled)), num_features=self.num_features)
+        tf = features.with_text_java_tf(spread(labelled), num_features=self.num_features)
         made = features.with_tf_idf(tf, self.idf) if self.idf is not None else tf
         rows = made.select(self.model.cast("string").alias("model"), "label", "idx", "val")
 

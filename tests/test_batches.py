@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodwire.functions import batches, stem, text, tokens
+from moodwire.operators import corpus, features
 
 
 def test_a_distinct_word_is_stemmed_once(monkeypatch):
@@ -72,3 +73,21 @@ def test_tokenizers_of_a_chain_are_joined_in_one_task_function(spark):
     plan = spark.createDataFrame([("a b",)], "t string").select(
         tokens.default_tokens("t").alias("made"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("_stem_texts(") == 1 and "concat(" not in plan
+
+
+def test_hashes_without_tokens_are_the_tokens_hashes(spark):
+    """Word hashes put together give every n-gram's hash, also of short and empty sentences, nulls and slices."""
+    texts = pa.array(["q", "the cars are. a-b", None, "", "  ", "..", "é1 .b", "a..b c d e. _x " + "long" * 30]).slice(1)
+    for form, n in ((batches.unigrams, ()), (batches.ngrams, (2,)), (batches.ngrams, (3,))):
+        tokens_of = form(texts, *n)
+        want = [None if t is None else batches.java_hashes(pa.array(t, pa.string())).tolist() for t in tokens_of.to_pylist()]
+        assert form(texts, *n, hashes=True).to_pylist() == want
+        assert batches.term_counts(form(texts, *n, hashes=True), 50).equals(batches.term_counts(tokens_of, 50))
+    df = spark.createDataFrame([(1, "The boys' cars :) didn't go. Go"), (2, None), (3, ""), (4, " . ")], "id int, text string")
+    got = features.with_text_java_tf(df).select("id", "idx", "val").collect()
+    assert got == features.with_java_tf(corpus.with_tokens(df)).select("id", "idx", "val").collect()
+    own = tokens.TextChain([text.normalize_noise], None, [tokens.whitespace_unigrams])
+    assert features.with_text_java_tf(df, chain=own).select("id", "idx", "val").collect() == features.with_java_tf(
+        corpus.with_tokens(df, chain=own)).select("id", "idx", "val").collect()
+    plan = features.with_text_java_tf(df).select("idx", "val")._jdf.queryExecution().executedPlan().toString()
+    assert "array<string>" not in plan

@@ -74,3 +74,15 @@ def test_cap_is_exact_under_heavy_skew(spark):
     assert got[0.0] == (250, 24900)
     plan = capped._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and ", Partial" in plan
+
+
+def test_text_chain_runs_on_the_hits_alone(spark, small_dir):
+    """The search keeps its top rows first: the chain stands above the limit in the plan, nothing is sorted as a whole."""
+    from moodwire.operators import corpus, features
+    from moodwire.plans import models
+
+    hits = models.search_hits(spark, small_dir)
+    for made in (features.with_text_java_tf(hits, "tweet").select("idx"), corpus.with_tokens(hits, "tweet").select("tokens")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("TakeOrderedAndProject") == 1 and "rangepartitioning" not in plan
+        assert plan.rindex("ArrowEvalPython") < plan.index("TakeOrderedAndProject")
