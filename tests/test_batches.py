@@ -91,3 +91,42 @@ def test_hashes_without_tokens_are_the_tokens_hashes(spark):
         corpus.with_tokens(df, chain=own)).select("id", "idx", "val").collect()
     plan = features.with_text_java_tf(df).select("idx", "val")._jdf.queryExecution().executedPlan().toString()
     assert "array<string>" not in plan
+
+
+ODD_TEXTS = ["u don't, can't: you're hahaha haha.", "éu uè ú éu ́u _u u_ ü u", "cannot u’s won't‍u", "x\U0001d400u u\U0001d400",
+             "u\U000e0100 \U000e0100u á́u ́́u 1́u _́u", "sooooo aaa---bbb___ aabbb éééé ..... zzzzz\nzz", "@ @a@b @ x\ty @@@ a@\x0bb",
+             "http://x http:// http://http://a\nb https://c", "", " ", "-_-", "don't'u'don't uu u u", "u힣u u٠ ٠u Ⅰu", "haha" * 3, "you're're u're"]
+
+
+def test_rules_in_arrow_tasks_equal_java_patterns(spark):
+    """Patterns of simple form leave the JVM: word boundaries, classes and runs as Java's patterns have them."""
+    from pyspark.sql import functions as F
+
+    from moodwire.functions import batches, rules, text
+
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*ODD_TEXTS, None])], "k int, t string")
+    for rule in (text.normalize_shortforms, text.normalize_noise):
+        assert all(batches.text_change(*pair) for pair in rule.pairs)
+        java = F.lower("t")
+        for pattern, replacement in rule.pairs:
+            java = F.regexp_replace(java, pattern, replacement)
+        for k, got, want in df.select("k", rule("t"), java).collect():
+            assert got == want, k
+    assert batches.text_change(r"https?:\/\/\S+", "url") is None and batches.text_change(r"\ba\b", "$0") is None
+
+
+def test_text_chain_makes_lower_case_once(spark):
+    """Between two rules nothing is done in the JVM: one Python node for the whole chain."""
+    from moodwire.operators import features
+
+    df = spark.createDataFrame([(1, "A B :) don't")], "k int, text string")
+    plan = features.with_text_java_tf(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_repeated_words_are_stemmed_once_per_worker():
+    from moodwire.functions import stem
+
+    stem.stem_word.cache_clear()
+    assert [stem.stem_word(w) for w in ("running", "running", "flies")] == ["run", "run", "fli"]
+    assert stem.stem_word.cache_info().misses == 2
