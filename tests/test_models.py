@@ -126,3 +126,17 @@ def test_gradient_frame_matches_numpy(spark, tf):
         m = 1.0 / (1.0 + np.exp(-(np.array(w)[ix] * v).sum())) - r["label"]
         np.add.at(want, ix, v * m)
     assert np.allclose(got, want, atol=1e-9)
+
+
+def test_descent_makes_no_broadcast_per_step(spark, monkeypatch):
+    """The weights go with the tasks of a step; a broadcast each step took a seventh of its time."""
+    from pyspark import SparkContext
+
+    from moodwire.operators import sgd
+
+    made = []
+    plain = SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: made.append(1) or plain(self, value))
+    rows = spark.createDataFrame([(1.0, [0, 2], [1.0, 2.0]), (0.0, [1], [1.0])], "label double, idx array<int>, val array<double>")
+    model = sgd.train_sgd(rows, 3, iterations=4, tol=0.0)
+    assert model.iterations == 4 and model.weights[0] > 0 > model.weights[1] and not made
