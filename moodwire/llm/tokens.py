@@ -4,8 +4,8 @@ A segment is what stands between single spaces; a single line feed between other
 as well. Both vocabularies begin a new pre-token there, so a text's ids are the concatenation of its
 segments' ids, and these can be remembered. Where the vocabulary keeps white space, texts with two
 white-space characters in a row (where that does not hold) go to the library whole. Segments of ASCII
-marks and Latin letters are cut into pre-tokens here, and those are remembered on a second level: words
-are far fewer than words with their marks. Both memories are bounded in bytes and drop what was not
+marks and Latin letters are cut into pre-tokens here, and those are remembered on a second level (in the same
+memory where white space only separates): words are far fewer than words with their marks. The memories are bounded in bytes and drop what was not
 asked for lately; what they hold never changes a result.
 """
 
@@ -25,6 +25,8 @@ LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e"
 RUN = re.compile(r"\s\s|^\s|\s\Z")
 PLAIN = re.compile(rf"[!-~\n{LETTERS}]+")  # pre-tokens are told apart without further Unicode classes
 
+WORD = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")  # one pre-token, which lower case leaves as it is
+
 # The two vocabularies' pre-token patterns, for plain segments.
 PRETOKENS = {
     " ": rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\n",
@@ -52,6 +54,19 @@ class Memory:
         self.young[key] = value
         self.size += cost
 
+    def keep_all(self, answers: dict):
+        """``keep`` of many answers that are bytes."""
+        young, size, half, sizeof = self.young, self.size, self.half, sys.getsizeof
+        for key, value in answers.items():
+            if len(key) <= LONGEST:
+                cost = sizeof(key) + sizeof(value) + self.ENTRY
+                if size + cost > half:
+                    self.old, self.young, size = young, {}, 0
+                    young = self.young
+                young[key] = value
+                size += cost
+        self.size = size
+
 
 def byte_alphabet() -> dict[int, str]:
     """The alphabet of byte-level vocabularies: printable bytes stand for themselves, the others for
@@ -106,8 +121,12 @@ class SegmentEncoder:
 
     def __init__(self, path: str, leading_space: bool):
         self.tokenizer, self.prefix = library(path), " " if leading_space else ""
-        self.pattern = re.compile(PRETOKENS[self.prefix])
-        self.seen, self.words = Memory(SEGMENT_BYTES), Memory(WORD_BYTES)
+        self.between = "\t" if leading_space else " "  # neither in a plain segment nor remembered
+        self.pattern = re.compile(f"{PRETOKENS[self.prefix]}|{self.between}")
+        if self.prefix:
+            self.seen, self.words = Memory(SEGMENT_BYTES), Memory(WORD_BYTES)
+        else:  # a pre-token in lower case is a segment with the same ids: one memory, no word in it twice
+            self.seen = self.words = Memory(SEGMENT_BYTES + WORD_BYTES)
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -132,33 +151,53 @@ class SegmentEncoder:
         pre-tokens; the others by the whole library."""
         import numpy as np
 
-        old, new, rest = self.seen.old, {}, []
+        old, new, plain, rest = self.seen.old, {}, [], []
+        is_plain, single = PLAIN.fullmatch, None if self.prefix else WORD.fullmatch
         for p in pieces:
-            if p in old:
-                new[p] = old[p]
-            elif PLAIN.fullmatch(p) and "<|" not in p:
-                new[p] = self._plain(p)
+            v = old.get(p)
+            if v is not None:
+                new[p] = v
+            elif single and single(p):
+                new[p] = self._word(p)
+            elif is_plain(p) and "<|" not in p:
+                plain.append(p)
             else:
                 rest.append(p)
+        if plain:
+            new.update(zip(plain, self._plain(plain)))
         full = [p if p.startswith("\n") else self.prefix + p for p in rest]
         encoded = self.tokenizer.encode_batch_fast(full, add_special_tokens=False) if rest else []
         new.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(rest, encoded))
-        for p, v in new.items():
-            self.seen.keep(p, v, sys.getsizeof(v))
+        self.seen.keep_all(new)
         return new
 
-    def _plain(self, piece: str) -> bytes:
-        words, out = self.words, []
-        for w in self.pattern.findall(piece if piece[0] == "\n" else " " + piece) if self.prefix \
-                else self.pattern.findall(piece.lower()):
-            v = words.young.get(w)
-            if v is None:
-                v = words.old.get(w)
-                if v is None:
-                    v = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(in_alphabet(w))])
-                words.keep(w, v, sys.getsizeof(v))
-            out.append(v)
-        return b"".join(out)
+    def _word(self, word: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(in_alphabet(word))])
+
+    def _plain(self, pieces: list[str]) -> list[bytes]:
+        """Plain segments by their pre-tokens, all cut in one go: ``between`` stands between two segments."""
+        words, prefix, between = self.words, self.prefix, self.between
+        if prefix:
+            text = between.join([p if p[:1] == "\n" else prefix + p for p in pieces])
+        else:
+            text = between.join(pieces).lower()
+        cut_words = self.pattern.findall(text)
+        found = list(map(words.young.get, cut_words))
+        if None in found:
+            old, new = words.old, {between: None}
+            for w in {w for w, v in zip(cut_words, found) if v is None} - {between}:
+                v = old.get(w)
+                new[w] = self._word(w) if v is None else v
+            found = [new[w] if v is None else v for w, v in zip(cut_words, found)]
+            del new[between]
+            words.keep_all(new)
+        out, start = [], 0
+        while len(out) < len(pieces) - 1:
+            end = found.index(None, start)
+            out.append(b"".join(found[start:end]))
+            start = end + 1
+        out.append(b"".join(found[start:]))
+        return out
 
     def ids(self, text: str) -> bytes:
         return b"".join(self.segments(text))

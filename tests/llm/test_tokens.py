@@ -131,3 +131,16 @@ def test_packing_by_hand(frame, rnd):
     assert sorted(sequences) == list(range(len(sequences)))
     assert sum(r.length for r in got) > 0.9 * 64 * (len(sequences) - 1)
     assert packing.pack(frame(rows).limit(0), path, 2).collect() == []
+
+
+def test_words_and_segments_share_a_memory_where_space_separates():
+    """Plain words are kept once and cut in one go with the others; the ids are the library's."""
+    import numpy as np
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = tokens.library(path), tokens.SegmentEncoder(path, False)
+    assert enc.seen is enc.words
+    for text in ("the lion, the lion's DEN. été ÉTÉ! a\tb x1y22 |<|pad|>| den", "the", "", "  lion\n\nlion. 3,14"):
+        for _ in range(2):  # learned, then remembered
+            assert np.frombuffer(enc.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert sum(w == "lion" for w in enc.seen.young) == 1
