@@ -130,3 +130,19 @@ def test_repeated_words_are_stemmed_once_per_worker():
     stem.stem_word.cache_clear()
     assert [stem.stem_word(w) for w in ("running", "running", "flies")] == ["run", "run", "fli"]
     assert stem.stem_word.cache_info().misses == 2
+
+
+def test_words_that_no_step_looks_at_are_not_stemmed(monkeypatch):
+    """Endings of every step, markers, marks and letters beyond ASCII: the stems of all words are those of ``stem_word``,
+    which is asked for the few that a step may change."""
+    tails = sorted(stem.TAILS2 | stem.TAILS3 | stem.TAILS4) + ["s", "ss", "ed", "ing", "eed", "y", "ll", "e", stem.REMOVED, stem.SHORT, "", ",", "\u00e9", "\u65e5"]
+    words = [None, "", "a", "Y", "Yes", "yes", "\u00e9s"] + [head + tail for head in ("b", "tr", "hop", "generat", "Yrel", "yon", "\u00e9t\u00e9") for tail in tails]
+    array = pa.array(words)
+    expected = [None if w is None else stem.stem_word(w) for w in words]
+    assert stem._stem_distinct(array).to_pylist() == expected
+    assert stem._stem_distinct(array.slice(5, 40)).to_pylist() == expected[5:45]
+    assert stem._stem_distinct(array.slice(0, 0)).to_pylist() == []
+    asked = []
+    monkeypatch.setattr(stem, "stem_word", lambda w: asked.append(w) or w)
+    stem._stem_distinct(pa.array(["haus.", "hand", "hoch", "rather,", "Yak", "zu"]))
+    assert asked == ["hand", "Yak", "zu"]
