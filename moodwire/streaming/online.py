@@ -251,8 +251,9 @@ class OnlineTrainer:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Train on one micro-batch from version ``batch_id - 1`` and write version ``batch_id``."""
         start = self.weights_before(batch_id)
-        data = self.features(spread(batch), self.idf).select("label", "idx", "val")
-        model = sgd.train_sgd(data, self.num_features, self.iterations, self.step, self.reg_param, start)
+        # counts; the IDF is applied as a step reads them. A text that is null has no buckets, so it has no counts either
+        data = self.features(spread(batch), None).select("label", "idx", F.when(F.col("idx").isNotNull(), F.col("val")).alias("val"))
+        model = sgd.train_sgd(data, self.num_features, self.iterations, self.step, self.reg_param, start, scale=self.idf)
         if model.rows == 0:
             return  # empty batch: no new version
         row = sgd.weights_frame(self.spark, model, batch_id).withColumn("rows", F.lit(model.rows).cast("long"))
@@ -261,14 +262,18 @@ class OnlineTrainer:
         if self.holdout is not None and self._evaluation_due(batch_id):
             self.evaluate(model.weights, batch_id)
 
+    def holdout_features(self) -> DataFrame:
+        """The hold-out as it is scored (label, idx, val): tokenized once, kept for the later versions."""
+        if self._holdout_features is None:
+            self._holdout_features = self.features(self.holdout, self.score_idf).select("label", "idx", "val").persist()
+        return self._holdout_features
+
     def evaluate(self, weights: list[float], version: int) -> None:
         """Score the hold-out with ``weights`` and write the statistics row of ``version``
         (idempotent: a replay overwrites its own row)."""
         from moodwire.operators import metrics
 
-        if self._holdout_features is None:  # tokenized once, kept for the later versions
-            self._holdout_features = self.features(self.holdout, self.score_idf).select("label", "idx", "val").persist()
-        scored = sgd.with_online_prediction(self._holdout_features, weights).withColumnRenamed(
+        scored = sgd.with_online_prediction(self.holdout_features(), weights).withColumnRenamed(
             "probability", "score")
         stats = metrics.statistics_row(scored, "online", f"sgd(version={version})", version)
         (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from moodwire.operators import pca, sgd
+from moodwire.operators import features, pca, sgd
 from moodwire.plans import models
 from moodwire.sources import tables
 from moodwire.streaming import online
@@ -76,6 +76,60 @@ def test_a_step_of_descent_is_one_stage(spark):
     assert max(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("descent")) == 1
 
 
+def test_a_step_over_few_rows_has_few_tasks(spark, monkeypatch):
+    """Rows of many partitions that one task can hold are gathered for the steps; with more rows there is a task per core."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 400, 1, 4 * cores).select((F.col("id") % 2).cast("double").alias("label"),
+                                                    F.array((F.col("id") % 3).cast("int")).alias("idx"), F.array(F.lit(1.0)).alias("val"))
+    sc = spark.sparkContext
+
+    def tasks(group, weights=[]):
+        sc.setJobGroup(group, "steps")
+        weights.append(sgd.train_sgd(rows, 3, iterations=6, tol=0.0).weights)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        jobs = sorted(tracker.getJobIdsForGroup(group))
+        return tracker.getStageInfo(tracker.getJobInfo(jobs[-1]).stageIds[-1]).numTasks, weights
+
+    assert tasks("few")[0] == 1
+    monkeypatch.setattr(sgd, "TASK_BYTES", 1)
+    most, (gathered, apart) = tasks("many")
+    assert most == cores and np.allclose(gathered, apart, rtol=0, atol=1e-12)
+
+
+def test_scaled_counts_train_as_their_products(spark):
+    """Counts and a factor per bucket give the weights of the products, and are kept in a byte each. Rows without
+    buckets count, too."""
+    rows = spark.createDataFrame([(float(k % 2), [k % 5, 5 + k % 3], [1.0 + k % 4, 2.0]) for k in range(60)] + [(1.0, [], []), (0.0, None, None)],
+                                 "label double, idx array<int>, val array<double>")
+    scale = [0.1 + 0.37 * j for j in range(8)]
+    plain = sgd.train_sgd(features.with_tf_idf(rows, scale), 8, iterations=7, tol=0.0)
+    scaled = sgd.train_sgd(rows, 8, iterations=7, tol=0.0, scale=scale)
+    assert scaled.rows == plain.rows == 62 and scaled.weights == plain.weights
+
+
+def test_the_trainer_reads_texts_without_buckets(spark):
+    """A null text has no buckets: the values of the rows beside it stay with theirs."""
+    texts = [(1.0, "good day :)"), (0.0, None), (0.0, "bad day :("), (1.0, "")]
+    batch = spark.createDataFrame(texts, "label double, text string").coalesce(1)
+    idf = [0.5 + 0.01 * j for j in range(50)]
+    trainer = online.OnlineTrainer(spark, num_features=50, iterations=5, idf=idf)
+    trainer.process(batch, 0)
+    made = features.with_tf_idf(features.with_text_java_tf(batch, num_features=50), idf)
+    expected = sgd.train_sgd(made.select("label", "idx", "val"), 50, iterations=5)
+    row = trainer.latest().first()
+    assert np.allclose(row["weights"], expected.weights, rtol=0, atol=1e-12) and row["rows"] == 4
+
+
+def test_the_holdout_goes_through_the_text_chain_once(spark, small_dir, monkeypatch):
+    """Its evaluations and the statistics of the latest model read the features that the trainer keeps."""
+    models.forget()
+    models.online_trainer(spark, small_dir)
+    monkeypatch.setattr(features, "with_text_java_tf", lambda *a, **k: (_ for _ in ()).throw(AssertionError("chain once more")))
+    assert models.q_online_statistics(spark, small_dir).count() == 1
+    models.forget()
+
+
 def test_rows_of_a_micro_batch_in_one_file_are_dealt(spark):
     one = spark.range(0, 1000, 1, 1)
     rows = [r["count"] for r in online.spread(one).groupBy(F.spark_partition_id()).count().collect()]
