@@ -146,3 +146,19 @@ def test_words_that_no_step_looks_at_are_not_stemmed(monkeypatch):
     monkeypatch.setattr(stem, "stem_word", lambda w: asked.append(w) or w)
     stem._stem_distinct(pa.array(["haus.", "hand", "hoch", "rather,", "Yak", "zu"]))
     assert asked == ["hand", "Yak", "zu"]
+
+
+def test_pieces_of_a_batch_give_what_the_whole_gives(monkeypatch):
+    """The text chain takes a batch some texts at a time; no piece holds more than its bytes, or one text."""
+    texts = pa.array(["Cars, cars running. boys", None, "", " ", ".", "a" * 90, "sooo baaad day.  two  words ", "ende é. x"] * 5)
+    steps = [lambda t: batches.replace_all(t, [("a", "b"), ("é", "e")]), stem._stem_texts,
+             lambda t: batches.joined([batches.unigrams(t), batches.ngrams(t, 2)]),
+             lambda t: batches.joined([batches.unigrams(t, hashes=True), batches.ngrams(t, 2, hashes=True)])]
+    whole = [step(texts) for step in steps]
+    monkeypatch.setattr(batches, "PIECE_BYTES", 64)
+    for step, expected in zip(steps, whole):
+        sizes = []
+        got = batches.in_pieces(texts.slice(3), lambda some: sizes.append((len(some), sum(len(t.encode()) for t in some.to_pylist() if t))) or step(some))
+        assert got.to_pylist() == expected.to_pylist()[3:] and got.type == expected.type
+        assert len(sizes) > 5 and all(held <= 64 or rows == 1 for rows, held in sizes)
+        assert batches.in_pieces(texts.slice(0, 0), step).to_pylist() == []

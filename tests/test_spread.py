@@ -134,3 +134,17 @@ def test_rows_of_a_micro_batch_in_one_file_are_dealt(spark):
     one = spark.range(0, 1000, 1, 1)
     rows = [r["count"] for r in online.spread(one).groupBy(F.spark_partition_id()).count().collect()]
     assert len(rows) == spark.sparkContext.defaultParallelism and sum(rows) == 1000
+
+
+def test_rows_of_a_descent_do_not_fill_an_executors_memory(spark, monkeypatch):
+    """A packed row has a few MB however many rows a batch has, and many of them are kept on disk."""
+    rows = spark.range(0, 2000, 1, 1).select((F.col("id") % 2).cast("double").alias("label"), F.sequence(F.lit(0), F.lit(299)).alias("idx"),
+                                             F.array_repeat(F.lit(1.0), 300).alias("val"))
+    packed = rows.mapInArrow(sgd._pack_batches("label", "idx", "val"), sgd.PACKED_SCHEMA)
+    sizes = [r[0] for r in packed.select(F.length("val") + F.length("idx")).collect()]
+    assert sum(sizes) == 12 * 600_000 and max(sizes) < 4 << 20
+    levels, plain = [], sgd.gathered
+    monkeypatch.setattr(sgd, "TASK_BYTES", 1)
+    monkeypatch.setattr(sgd, "gathered", lambda data, size: levels.append(data.getStorageLevel()) or plain(data, size))
+    assert sgd.train_sgd(rows, 300, iterations=2).rows == 2000
+    assert levels[0].useDisk and not levels[0].useMemory
