@@ -1,10 +1,11 @@
 """Work is spread by where rows lie, and what is kept of them is small."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from moodwire.operators import features, pca, sgd
-from moodwire.plans import models
+from moodwire.operators import features, pca, sgd, train
+from moodwire.plans import catalog, models
 from moodwire.sources import tables
 from moodwire.streaming import online
 
@@ -148,3 +149,29 @@ def test_rows_of_a_descent_do_not_fill_an_executors_memory(spark, monkeypatch):
     monkeypatch.setattr(sgd, "gathered", lambda data, size: levels.append(data.getStorageLevel()) or plain(data, size))
     assert sgd.train_sgd(rows, 300, iterations=2).rows == 2000
     assert levels[0].useDisk and not levels[0].useMemory
+
+
+def test_the_grid_search_keeps_no_copies_of_folds(spark, monkeypatch):
+    """The areas and the model of ``CrossValidator``, which keeps both sides of each fold; so are its refusals."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.tuning import ParamGridBuilder
+    from pyspark.sql import DataFrame
+
+    made = [(k, float(k * 7 % 3 == 0), Vectors.sparse(4, [k % 4], [1.0 + k % 5])) for k in range(90)]
+    rows = spark.createDataFrame(made, ["tweet_id", "label", "features"]).persist()
+    lr = LogisticRegression()
+    theirs = train._cross_validate(train.with_folds(rows, 3), lr, ParamGridBuilder().addGrid(lr.maxIter, [0, 1]).build(), 3, 1)
+    kept = []
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(DataFrame, name, lambda self, *a: kept.append(self) or self)
+        monkeypatch.setattr(type(rows), name, lambda self, *a: kept.append(self) or self)
+    ours = train.lr_cv_grid(rows)
+    monkeypatch.undo()
+    assert not kept and ours.avgMetrics == list(theirs.avgMetrics) and ours.settings == [(-1, -1.0, 0), (-1, -1.0, 1)]
+    assert ours.bestModel.coefficients.toArray().tolist() == theirs.bestModel.coefficients.toArray().tolist()
+    rows.unpersist()
+    with pytest.raises(ValueError, match="is empty"):
+        train.lr_cv_grid(rows.filter("tweet_id = 1"))
+    with pytest.raises(ValueError, match="have no fold"):
+        train.lr_cv_grid(rows.withColumn("tweet_id", F.when(F.col("tweet_id") > 3, F.col("tweet_id"))))
