@@ -175,3 +175,13 @@ def test_the_grid_search_keeps_no_copies_of_folds(spark, monkeypatch):
         train.lr_cv_grid(rows.filter("tweet_id = 1"))
     with pytest.raises(ValueError, match="have no fold"):
         train.lr_cv_grid(rows.withColumn("tweet_id", F.when(F.col("tweet_id") > 3, F.col("tweet_id"))))
+
+
+def test_tasks_of_the_term_counts_hold_few_texts(spark, tmp_path):
+    """The worker of a task holds all forms of its texts at once, beside the heap of its executor."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 6_000 * cores, 1, cores).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang")).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    for made in (catalog.java_tf(spark, str(tmp_path)), models.java_features(spark, str(tmp_path))):
+        rows = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(rows) == 6_000 * cores and max(rows) <= 2_200
