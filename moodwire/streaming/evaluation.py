@@ -140,7 +140,11 @@ class PeriodicEvaluator:
             raise query.exception()
 
     def statistics(self) -> DataFrame:
-        return table_or_empty(self.spark, self.statistics_path, STATISTICS_SCHEMA)
+        """The rows so far, one per evaluation, read between two ticks: a tick replaces the files of an evaluation that is
+        there already, and a plan made before it would still look for them."""
+        with self._tick:
+            rows = table_or_empty(self.spark, self.statistics_path, STATISTICS_SCHEMA).toArrow()
+        return self.spark.createDataFrame(rows, STATISTICS_SCHEMA)
 
 
 class StatisticsFeed:

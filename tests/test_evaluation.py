@@ -115,3 +115,16 @@ def test_subscriber_of_an_empty_table(spark):
     evaluation.put(stats(spark, ("online", 0, 0.5, 0)), path, "evaluation")
     feed.run()
     assert [r.model_version for r in feed.delivered().collect()] == [0]
+
+
+def test_statistics_stay_readable_while_a_tick_replaces_its_row(spark):
+    weights, holdout = work_path(spark, "t-weights"), work_path(spark, "t-holdout")
+    evaluator = evaluation.PeriodicEvaluator(spark, weights, holdout)
+    assert evaluator.statistics().collect() == [] and evaluator.statistics().schema.simpleString() == "struct<" + evaluation.STATISTICS_SCHEMA.replace("long", "bigint").replace(", ", ",").replace(" ", ":") + ">"
+    weights_at(spark, weights, 0, [1.0, -1.0])
+    holdout_at(spark, holdout, 0, ROWS)
+    evaluator.evaluate(0)
+    seen = evaluator.statistics()
+    expected = spark.read.schema(evaluation.STATISTICS_SCHEMA).parquet(evaluator.statistics_path).collect()
+    evaluator.evaluate(0)  # a replay: the row is written anew, in another file
+    assert seen.collect() == expected and len(expected) == 1
